@@ -14,8 +14,13 @@ from basketry.operators.distribution import distinct_sorted, histogram, value_co
 from basketry.operators.ranking import quantiles
 from basketry.plans.facts import completed_lines
 
-COMPLETED = F.col("status") == "completed"
-ROWS = F.count(F.lit(1))
+
+def _completed() -> Column:
+    return F.col("status") == "completed"
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def in_years(orders: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
@@ -37,7 +42,7 @@ def segment_breakdown(metrics: DataFrame) -> DataFrame:
         metrics.where("rfm_segment IS NOT NULL")
         .groupBy("rfm_segment")
         .agg(
-            ROWS.alias("customers"),
+            _rows().alias("customers"),
             mean_money("monetary").alias("avg_spend"),
             rounded_mean(F.sum("recency_days"), F.count("recency_days"), 0, 1).alias("avg_recency_days"),
         )
@@ -46,7 +51,7 @@ def segment_breakdown(metrics: DataFrame) -> DataFrame:
 
 
 def top_revenue_months(facts: DataFrame, limit: int = 5) -> DataFrame:
-    months = facts.where(COMPLETED).groupBy("order_year", "order_month")
+    months = facts.where(_completed()).groupBy("order_year", "order_month")
     totals = months.agg(F.count("order_id").alias("orders"), F.sum("order_total").alias("revenue"))
     return totals.orderBy(F.col("revenue").desc_nulls_last(), "order_year", "order_month").limit(limit)
 
@@ -84,7 +89,7 @@ def top_products(items: DataFrame, products: DataFrame, orders: DataFrame, limit
 
 def monthly_kpis(facts: DataFrame) -> DataFrame:
     return (
-        facts.where(COMPLETED)
+        facts.where(_completed())
         .groupBy("order_year", "order_month")
         .agg(
             F.count("order_id").alias("num_orders"),
@@ -97,22 +102,22 @@ def monthly_kpis(facts: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(facts: DataFrame) -> DataFrame:
-    months = facts.where(COMPLETED & F.col("order_date").isNotNull())
+    months = facts.where(_completed() & F.col("order_date").isNotNull())
     period = rules.period_label(F.col("order_date")).alias("period")
     return months.groupBy(period).agg(F.sum("order_total").alias("revenue")).orderBy("period")
 
 
 def overview_kpis(facts: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    done = F.count_if(COMPLETED)
-    total = F.when(COMPLETED, F.col("order_total"))
-    customer = F.when(COMPLETED, F.col("customer_id"))
+    done = F.count_if(_completed())
+    total = F.when(_completed(), F.col("order_total"))
+    customer = F.when(_completed(), F.col("customer_id"))
     kpis = in_years(facts, years).agg(
         F.sum(total).alias("total_revenue"),
         done.alias("completed_orders"),
-        plain_ratio(done, ROWS, 100).alias("completed_percent"),
+        plain_ratio(done, _rows(), 100).alias("completed_percent"),
         plain_ratio(F.sum(total), F.count(total)).alias("avg_order_value"),
         F.count_distinct(customer).alias("unique_customers"),
-        plain_ratio(F.count_if(F.col("status") == "cancelled"), ROWS, 100).alias("cancel_percent"),
+        plain_ratio(F.count_if(F.col("status") == "cancelled"), _rows(), 100).alias("cancel_percent"),
     )
     return kpis.withColumn("cancel_status", rules.cancel_status(F.col("cancel_percent")))
 
@@ -123,7 +128,7 @@ def status_breakdown(facts: DataFrame, years: Sequence[int] | None = None) -> Da
 
 def weekday_revenue(facts: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     day = rules.dow_monday0(F.col("order_date")).alias("dow")
-    days = in_years(facts, years).where(COMPLETED & F.col("order_date").isNotNull()).groupBy(day)
+    days = in_years(facts, years).where(_completed() & F.col("order_date").isNotNull()).groupBy(day)
     sums = days.agg(F.sum("order_total").alias("revenue"))
     return sums.select("dow", rules.label_of(F.col("dow"), rules.WEEKDAYS).alias("day"), "revenue").orderBy("dow")
 
@@ -131,9 +136,9 @@ def weekday_revenue(facts: DataFrame, years: Sequence[int] | None = None) -> Dat
 def product_kpis(products: DataFrame) -> DataFrame:
     active = F.count_if(F.col("is_active"))
     return products.agg(
-        ROWS.alias("products"),
+        _rows().alias("products"),
         active.alias("active_products"),
-        plain_ratio(active, ROWS, 100).alias("active_percent"),
+        plain_ratio(active, _rows(), 100).alias("active_percent"),
         F.count_distinct("category").alias("categories"),
     )
 
@@ -147,10 +152,10 @@ def customer_kpis(customers: DataFrame) -> DataFrame:
         return F.count_if(F.col("segment") == segment)
 
     return customers.agg(
-        ROWS.alias("customers"),
+        _rows().alias("customers"),
         of("VIP").alias("vip_customers"),
         of("At-Risk").alias("at_risk_customers"),
-        plain_ratio(of("At-Risk"), ROWS, 100).alias("at_risk_percent"),
+        plain_ratio(of("At-Risk"), _rows(), 100).alias("at_risk_percent"),
         of("New").alias("new_customers"),
     )
 
@@ -183,15 +188,15 @@ def spread_by_segment(metrics: DataFrame, value: str, method: str = "auto") -> D
 
 
 def pipeline_stats(orders: DataFrame) -> DataFrame:
-    return orders.where(COMPLETED).agg(
-        ROWS.alias("total_orders"),
+    return orders.where(_completed()).agg(
+        _rows().alias("total_orders"),
         F.sum("order_total").alias("total_revenue"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
 
 
 def warehouse_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    counts = [df.agg(F.lit(name).alias("tbl"), ROWS.alias("rows")) for name, df in tables.items()]
+    counts = [df.agg(F.lit(name).alias("tbl"), _rows().alias("rows")) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -205,18 +210,18 @@ def ingest_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Ten checks on the raw tables, one row each (orders by status: one per status)."""
     wide = {
         "raw_customers": {
-            "Total customers": ROWS,
-            "Duplicate customers": ROWS - F.count_distinct("customer_id"),
+            "Total customers": _rows(),
+            "Duplicate customers": _rows() - F.count_distinct("customer_id"),
             "Missing emails": F.count_if(F.col("email").isNull()),
         },
         "raw_orders": {
-            "Total orders": ROWS,
+            "Total orders": _rows(),
             "Missing shipping city": F.count_if(F.col("shipping_city").isNull()),
-            "Revenue (completed)": F.sum(F.when(COMPLETED, F.col("order_total"))),
+            "Revenue (completed)": F.sum(F.when(_completed(), F.col("order_total"))),
         },
-        "raw_order_items": {"Total order items": ROWS},
+        "raw_order_items": {"Total order items": _rows()},
         "raw_events": {
-            "Total events": ROWS,
+            "Total events": _rows(),
             "Anonymous events": F.count_if(F.col("customer_id").isNull()),
         },
     }
@@ -230,6 +235,6 @@ def ingest_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
             for i, name in enumerate(checks)
         ]
         frames.append(raw[table].agg(*values).select(F.inline(F.array(*rows))))
-    by_status = raw["raw_orders"].groupBy(F.col("status").alias("detail")).agg(ROWS.cast(kind).alias("value"))
+    by_status = raw["raw_orders"].groupBy(F.col("status").alias("detail")).agg(_rows().cast(kind).alias("value"))
     frames.append(by_status.select(F.lit("Orders by status").alias("check_name"), "detail", "value"))
     return reduce(DataFrame.unionByName, frames)
