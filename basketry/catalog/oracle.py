@@ -501,13 +501,13 @@ ORACLE: dict[str, str] = {
     "scaled_features": _with("metrics")
     + "select customer_id, "
     + ", ".join(
-        f"round(({dbl(c)} - avg({dbl(c)}) over ()) / stddev_pop({dbl(c)}) over (), 6) as z_{c}"
+        f"round(({dbl(c)} - avg({dbl(c)}) over ()) / stddev_pop({dbl(c)}) over (), 6) + 0e0 as z_{c}"
         for c in ("recency_days", "frequency", "monetary")
     )
     + " from metrics where rfm_segment is not null",
     "series_features": _with("series")
-    + f"""select period, {dbl('order_total')} as order_total, period_idx, month_num, round(sin_month, 9) as sin_month,
-      round(cos_month, 9) as cos_month from series""",
+    + f"""select period, {dbl('order_total')} as order_total, period_idx, month_num, round(sin_month, 9) + 0e0 as sin_month,
+      round(cos_month, 9) + 0e0 as cos_month from series""",
     "forecast_fit": _with("fitted")
     + f"select period, {dbl('order_total')} as order_total, is_test, round(prediction, 2) as prediction from fitted",
     "forecast_metrics": _with("fitted")

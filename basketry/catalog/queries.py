@@ -109,8 +109,8 @@ def query(build: Callable[[Shop], DataFrame]) -> Callable[[Shop], DataFrame]:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round doubles whose last bits depend on summation order."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Round doubles whose last bits depend on summation order; adding 0 turns -0.0 into 0.0."""
+    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
 
 # --- raw and staged tables -----------------------------------------------------------------------------

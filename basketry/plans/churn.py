@@ -64,7 +64,8 @@ def fit_forest(
     )
     data = _assemble(train, columns).select("features", F.col("churned").cast("double").alias("churned")).persist()
     try:
-        return forest.fit(data)
+        # The copy leaves the training summary behind: it holds the session, which tasks cannot receive.
+        return forest.fit(data).copy()
     finally:
         data.unpersist()
 
