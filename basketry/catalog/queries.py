@@ -484,15 +484,20 @@ def _vectors(shop: Shop) -> DataFrame:
     return kept["vectors"]
 
 
-def _segmented(shop: Shop) -> DataFrame:
-    """Scores with cluster segments."""
+def _clustered(shop: Shop) -> DataFrame:
     kept = _fitted(shop)
-    if "segmented" not in kept:
+    if "clustered" not in kept:
         model = segments.best_kmeans(_vectors(shop), [4])[4]
         assigned = segments.label_clusters(segments.assign(model, _vectors(shop)))
-        named = assigned.select("customer_id", "cluster", "ml_segment")
-        kept["segmented"] = materialise(_scores(shop).join(named, "customer_id"))[0]
-    return kept["segmented"]
+        columns = ["customer_id", *segments.COLUMNS, "cluster", "ml_segment"]
+        kept["clustered"] = materialise(assigned.select(*columns))[0]
+    return kept["clustered"]
+
+
+def _segmented(shop: Shop) -> DataFrame:
+    """Scores with cluster segments."""
+    named = _clustered(shop).select("customer_id", "cluster", "ml_segment")
+    return _scores(shop).join(named, "customer_id")
 
 
 @query
@@ -552,8 +557,7 @@ def kmeans_sweep(shop: Shop) -> DataFrame:
 
 @query
 def kmeans_segments(shop: Shop) -> DataFrame:
-    kept = ["customer_id", *segments.COLUMNS, "cluster", "ml_segment"]
-    return _segmented(shop).select(*kept)
+    return _clustered(shop)
 
 
 # --- forecast ------------------------------------------------------------------------------------------

@@ -62,7 +62,9 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    data = _assemble(train, columns).select("features", F.col("churned").cast("double").alias("churned")).persist()
+    data = _assemble(train, columns).select("features", F.col("churned").cast("double").alias("churned"))
+    # Growing trees is work per row, not per byte: use every core, however few bytes the rows take.
+    data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         # The copy leaves the training summary behind: it holds the session, which tasks cannot receive.
         return forest.fit(data).copy()

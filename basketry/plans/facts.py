@@ -8,7 +8,7 @@ many lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
@@ -66,17 +66,17 @@ def lines_per_order(items: DataFrame, products: DataFrame, raw_margin: bool = Fa
     )
 
 
-def _with_totals(df: DataFrame, copies: Column | None) -> DataFrame:
-    lines = F.coalesce(F.col("_lines"), F.lit(0).cast("bigint"))
-    total = F.col("_total")
-    if copies is not None:
-        lines, total = lines * copies, (total * copies).cast("decimal(28,2)")
-    none = F.array().cast("array<string>")
-    return df.withColumns(
+def _per_distinct_order(joined: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per distinct order; identical copies count the lines once each.
+
+    The line columns are the same in every copy, so any one will do, and unused ones are pruned.
+    """
+    kept = [F.first(c).alias(c) for c in joined.columns if c not in keys]
+    grouped = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *kept)
+    return grouped.withColumns(
         {
-            "order_total": total,
-            "num_items": lines,
-            "categories_purchased": F.coalesce("categories_purchased", none),
+            "_total": (F.col("_total") * F.col("_copies")).cast("decimal(28,2)"),
+            "_lines": F.col("_lines") * F.col("_copies"),
         }
     )
 
@@ -96,23 +96,22 @@ def fct_orders(
     partitioning of the join; `unique_orders=True`, safe once the uniqueness test has passed, skips it.
     """
     lines = lines_per_order(items, products, raw_margin)
-    keys = list(ORDER_COLUMNS)
-    joined = orders.select(*keys).join(lines, F.col("order_id") == F.col("_order"), "left").drop("_order")
-    extra = []
-    if customers is not None:
-        named = customers.select(
-            "customer_id", F.col("full_name").alias("customer_name"), F.col("segment").alias("customer_segment")
-        )
-        extra = ["customer_name", "customer_segment"]
-    if unique_orders:
-        counted, copies = joined, None
-    else:
-        counted, copies = joined.groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("_copies")), F.col("_copies")
+    keys, extra = list(ORDER_COLUMNS), []
+    done = orders.select(*keys).join(lines, F.col("order_id") == F.col("_order"), "left").drop("_order")
+    if not unique_orders:
+        done = _per_distinct_order(done, keys)
     if customers is not None:
-        counted = counted.join(named, "customer_id", "left")
-    done = _with_totals(counted, copies)
-    measures = ["order_total", "num_items", "avg_discount", "avg_margin", "categories_purchased"]
-    return done.select(*keys, *extra, *measures)
+        extra = [F.col("full_name").alias("customer_name"), F.col("segment").alias("customer_segment")]
+        done = done.join(customers.select("customer_id", "full_name", "segment"), "customer_id", "left")
+    return done.select(
+        *keys,
+        *extra,
+        F.col("_total").alias("order_total"),
+        F.coalesce("_lines", F.lit(0).cast("bigint")).alias("num_items"),
+        "avg_discount",
+        "avg_margin",
+        F.coalesce("categories_purchased", F.array().cast("array<string>")).alias("categories_purchased"),
+    )
 
 
 def mart_orders(
@@ -126,12 +125,16 @@ def mart_orders(
 def completed_lines(
     items: DataFrame, products: DataFrame, orders: DataFrame, status: str = "completed"
 ) -> DataFrame:
-    """Lines of orders with one status, with their product's columns."""
+    """Lines of orders with one status, with their product's columns.
+
+    The orders come first, as they drop lines; a broadcast of the products then keeps the partitioning on
+    order_id for whatever is grouped next.
+    """
     wanted = orders.where(F.col("status") == status).select(F.col("order_id").alias("_order"))
     sold = products.select(F.col("product_id").alias("_product"), "product_name", "category", "price")
     return (
-        items.join(sold, F.col("product_id") == F.col("_product"))
-        .join(wanted, F.col("order_id") == F.col("_order"))
+        items.join(wanted, F.col("order_id") == F.col("_order"))
+        .join(sold, F.col("product_id") == F.col("_product"))
         .drop("_order", "_product")
     )
 

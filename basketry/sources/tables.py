@@ -49,7 +49,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header line; timestamps keep their microseconds."""
+    micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.option("timestampFormat", micros).option("timestampNTZFormat", micros).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
