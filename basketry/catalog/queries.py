@@ -452,6 +452,9 @@ _FITTED: dict[tuple[str, str], dict] = {}
 
 
 def forget_models() -> None:
+    for kept in _FITTED.values():
+        if "vectors" in kept:
+            kept["vectors"].unpersist()
     _FITTED.clear()
 
 
@@ -465,7 +468,7 @@ def _fitted(shop: Shop) -> dict:
 def _forest(shop: Shop):
     kept = _fitted(shop)
     if "forest" not in kept:
-        split = churn.stratified_split(kept["features"], method="window")
+        split = churn.stratified_split(kept["features"])
         kept["forest"] = churn.fit_forest(split.where("NOT is_test"))
         kept["tested"] = churn.churn_scores(kept["forest"], split.where("is_test"))
         kept["scores"] = materialise(churn.churn_scores(kept["forest"], kept["features"]))[0]

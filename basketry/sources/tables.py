@@ -62,10 +62,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     that holds most of the rows over several files and merges the small ones.
     """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        counted = counted.hint("rebalance", *partition_by)
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    # Counted after the shuffle, in the writing stage, where a repeated task is not counted twice.
+    spread = df.hint("rebalance", *partition_by) if partition_by else df
+    spread.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 

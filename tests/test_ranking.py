@@ -102,7 +102,8 @@ def test_recency_forms_differ_when_rows_do_not_divide(spark):
         return [r.r_score for r in rfm.rfm_score(base, **how).orderBy("recency_days").collect()]
 
     for method in METHODS:
-        assert scores(method=method) == [4, 4, 3, 3, 3, 2, 2, 1, 1, 1]
+        # Ten rows make tiles of 3, 3, 2 and 2, filled from the oldest.
+        assert scores(method=method) == [4, 4, 3, 3, 2, 2, 2, 1, 1, 1]
         assert scores(method=method, recency_ascending=True) == [4, 4, 4, 3, 3, 3, 2, 2, 1, 1]
 
 
