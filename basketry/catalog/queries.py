@@ -465,19 +465,16 @@ def _fitted(shop: Shop) -> dict:
     return kept
 
 
-def _forest(shop: Shop):
+def _holdout(shop: Shop) -> dict:
+    """A forest trained on four fifths of the customers, scores of the rest, and scores of everyone."""
     kept = _fitted(shop)
     if "forest" not in kept:
         split = churn.stratified_split(kept["features"])
-        kept["forest"] = churn.fit_forest(split.where("NOT is_test"))
-        kept["tested"] = churn.churn_scores(kept["forest"], split.where("is_test"))
-        kept["scores"] = materialise(churn.churn_scores(kept["forest"], kept["features"]))[0]
-    return kept["forest"]
-
-
-def _scores(shop: Shop) -> DataFrame:
-    _forest(shop)
-    return _fitted(shop)["scores"]
+        forest = churn.fit_forest(split.where("NOT is_test"))
+        kept["tested"] = materialise(churn.churn_scores(forest, split.where("is_test")))[0]
+        kept["scores"] = materialise(churn.churn_scores(forest, kept["features"]))[0]
+        kept["forest"] = forest
+    return kept
 
 
 def _vectors(shop: Shop) -> DataFrame:
@@ -497,57 +494,80 @@ def _clustered(shop: Shop) -> DataFrame:
     return kept["clustered"]
 
 
-def _segmented(shop: Shop) -> DataFrame:
-    """Scores with cluster segments."""
-    named = _clustered(shop).select("customer_id", "cluster", "ml_segment")
-    return _scores(shop).join(named, "customer_id")
+def _customer_insights(shop: Shop) -> DataFrame:
+    """Everyone scored by a forest trained on everyone, with cluster segments."""
+    kept = _fitted(shop)
+    if "insights" not in kept:
+        forest = churn.fit_forest(kept["features"], min_leaf=1)
+        named = _clustered(shop).select("customer_id", "cluster", "ml_segment")
+        kept["insights"] = materialise(churn.churn_scores(forest, kept["features"]).join(named, "customer_id"))[0]
+    return kept["insights"]
 
 
 @query
 def churn_scores(shop: Shop) -> DataFrame:
-    return _scores(shop)
+    return _holdout(shop)["scores"]
+
+
+@query
+def churn_holdout_confusion(shop: Shop) -> DataFrame:
+    return churn.confusion_matrix(_holdout(shop)["tested"])
 
 
 @query
 def churn_holdout_report(shop: Shop) -> DataFrame:
-    _forest(shop)
-    return churn.classification_report(_fitted(shop)["tested"])
+    return churn.classification_report(_holdout(shop)["tested"])
 
 
 @query
 def churn_holdout_auc(shop: Shop) -> DataFrame:
-    _forest(shop)
-    return churn.roc_auc(_fitted(shop)["tested"])
+    return churn.roc_auc(_holdout(shop)["tested"])
+
+
+@query
+def churn_holdout_roc(shop: Shop) -> DataFrame:
+    return churn.roc_curve(_holdout(shop)["tested"])
 
 
 @query
 def feature_importance(shop: Shop) -> DataFrame:
-    return churn.feature_importance(_forest(shop), _fitted(shop)["features"])
+    kept = _holdout(shop)
+    return churn.feature_importance(kept["forest"], kept["features"])
+
+
+@query
+def top_churn_holdout(shop: Shop) -> DataFrame:
+    return churn.top_churn(_holdout(shop)["scores"], 10)
+
+
+@query
+def customer_insights(shop: Shop) -> DataFrame:
+    return _customer_insights(shop)
 
 
 @query
 def churn_kpis(shop: Shop) -> DataFrame:
-    return churn.churn_kpis(_segmented(shop))
+    return churn.churn_kpis(_customer_insights(shop))
 
 
 @query
 def churn_risk_distribution(shop: Shop) -> DataFrame:
-    return churn.risk_distribution(_segmented(shop))
+    return churn.risk_distribution(_customer_insights(shop))
 
 
 @query
 def ml_segment_distribution(shop: Shop) -> DataFrame:
-    return churn.ml_segment_distribution(_segmented(shop))
+    return churn.ml_segment_distribution(_customer_insights(shop))
 
 
 @query
 def churn_spread_by_segment(shop: Shop) -> DataFrame:
-    return reports.spread_by_segment(_segmented(shop), "churn_probability")
+    return reports.spread_by_segment(_customer_insights(shop), "churn_probability")
 
 
 @query
 def top_churn(shop: Shop) -> DataFrame:
-    return churn.top_churn(_scores(shop))
+    return churn.top_churn(_customer_insights(shop))
 
 
 # --- clusters ------------------------------------------------------------------------------------------
@@ -563,6 +583,11 @@ def kmeans_segments(shop: Shop) -> DataFrame:
     return _clustered(shop)
 
 
+@query
+def kmeans_profile(shop: Shop) -> DataFrame:
+    return segments.cluster_profile(_clustered(shop))
+
+
 # --- forecast ------------------------------------------------------------------------------------------
 
 

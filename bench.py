@@ -1,7 +1,8 @@
 """Time the headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS] and print one JSON line.
 
 Every query is run to the end into a sink that keeps nothing; the figure is the median of three warm runs
-(one for the model queries, whose fitted models are forgotten first).
+(one for the model queries, whose fitted models are forgotten first). With --compare it prints a table of all
+checked queries next to DuckDB instead.
 """
 
 from __future__ import annotations
@@ -9,8 +10,10 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import sys
 import time
 
+from basketry.catalog.oracle import ORACLE
 from basketry.catalog.queries import QUERIES, forget_models
 from basketry.session import local_session
 
@@ -33,6 +36,7 @@ HEADLINE = (
     "forecast_report",
 )
 MODELS = ("churn_scores", "kmeans_segments")
+TABLES = ("customer", "part", "orders", "lineitem", "events")
 
 
 def run(spark, name: str, folder: str) -> float:
@@ -41,14 +45,36 @@ def run(spark, name: str, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def warm_median(action) -> float:
+    action()
+    return round(statistics.median(action() for _ in range(3)), 3)
+
+
+def compare(spark, folder: str, cpus: str) -> None:
+    """Print every query that has checking SQL next to DuckDB on the same files."""
+    import duckdb
+
+    con = duckdb.connect(config={"threads": cpus})
+    for table in TABLES:
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
+
+    def check(sql: str) -> float:
+        start = time.perf_counter()
+        con.execute(sql).fetchall()
+        return time.perf_counter() - start
+
+    for name, sql in ORACLE.items():
+        ours, theirs = warm_median(lambda: run(spark, name, folder)), warm_median(lambda: check(sql))
+        print(f"| `{name}` | {ours:.2f} | {theirs:.2f} |", flush=True)
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus)
-    seconds = {}
-    for name in HEADLINE:
-        run(spark, name, folder)
-        seconds[name] = round(statistics.median(run(spark, name, folder) for _ in range(3)), 3)
+    if "--compare" in sys.argv:
+        return compare(spark, folder, cpus)
+    seconds = {name: warm_median(lambda: run(spark, name, folder)) for name in HEADLINE}
     for name in MODELS:
         forget_models()
         seconds[name] = round(run(spark, name, folder), 3)

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 import frames
 from basketry.operators import quality
 from basketry.operators.distribution import histogram, value_counts
-from basketry.plans import warehouse
+from basketry.plans import reports, warehouse
+from basketry.sources.tables import register
 
 
 def test_histogram_closes_the_last_bin_and_keeps_empty_ones(spark):
@@ -51,3 +52,17 @@ def test_gate_names_every_failure(spark):
     )
     quality.assert_quality(good)
     assert good.count() == 3
+
+
+def test_registered_tables_answer_sql(spark):
+    schema = "rfm_segment string, monetary decimal(18,2), recency_days int"
+    rows = [("Loyal", 10, 3), ("Loyal", 21, 4), ("Lost", 1, 9), (None, None, None)]
+    metrics = spark.createDataFrame(rows, schema.replace("decimal(18,2)", "int"))
+    metrics = metrics.withColumn("monetary", F.col("monetary").cast("decimal(18,2)"))
+    register({"metrics_view": metrics})
+    by_sql = spark.sql(
+        """SELECT rfm_segment, count(*) AS customers, CAST(round(avg(monetary), 2) AS double) AS avg_spend,
+             CAST(round(avg(recency_days), 1) AS double) AS avg_recency_days
+           FROM metrics_view WHERE rfm_segment IS NOT NULL GROUP BY 1 ORDER BY 3 DESC"""
+    )
+    assert by_sql.collect() == reports.segment_breakdown(metrics).collect()
