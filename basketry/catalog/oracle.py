@@ -261,8 +261,8 @@ MODEL_TABLES = {
 }
 
 _SPREAD = f"""
-  select rfm_segment, customers, round(q[1], 6) as minimum, round(q[2], 6) as q1, round(q[3], 6) as median,
-    round(q[4], 6) as q3, round(q[5], 6) as maximum
+  select rfm_segment, customers, round(q[1], 4) as minimum, round(q[2], 4) as q1, round(q[3], 4) as median,
+    round(q[4], 4) as q3, round(q[5], 4) as maximum
   from (select rfm_segment, count(*) as customers, quantile_cont({dbl('monetary')}, {QUARTILES}) as q
     from metrics where rfm_segment is not null group by 1)"""
 
@@ -298,6 +298,16 @@ _REPORT = f"""
     round({ratio('sum(recall * support)', 'sum(support)')}, 9), round({ratio('sum(f1 * support)', 'sum(support)')}, 9),
     {big('sum(support)')} from classes"""
 
+_MART = (
+    _with("stg_orders", "dim_customers", "raw_order_items", "dim_products")
+    + f"""select o.order_id, o.customer_id, c.full_name as customer_name, c.segment as customer_segment, o.order_date,
+      o.order_year, o.order_month, o.status, o.shipping_city, o.shipping_state,
+      {_fact_measures('p.margin_units', 4)}
+      from stg_orders o left join dim_customers c on o.customer_id = c.customer_id
+      left join raw_order_items i on o.order_id = i.order_id left join dim_products p on i.product_id = p.product_id
+      group by 1,2,3,4,5,6,7,8,9,10"""
+)
+
 _MONEY_MEAN = mean("sum({})".format(cents("monetary")), "count(monetary)", 2, 1)
 
 ORACLE: dict[str, str] = {
@@ -334,13 +344,8 @@ ORACLE: dict[str, str] = {
       left join (select product_id, {half_up(cents('(price - cost)'), cents('price'), 12)} as u from raw_products) p
         on i.product_id = p.product_id
       group by o.order_id, o.customer_id, o.order_date, o.status, o.shipping_city, o.shipping_state""",
-    "mart_orders": _with("stg_orders", "dim_customers", "raw_order_items", "dim_products")
-    + f"""select o.order_id, o.customer_id, c.full_name as customer_name, c.segment as customer_segment, o.order_date,
-      o.order_year, o.order_month, o.status, o.shipping_city, o.shipping_state,
-      {_fact_measures('p.margin_units', 4)}
-      from stg_orders o left join dim_customers c on o.customer_id = c.customer_id
-      left join raw_order_items i on o.order_id = i.order_id left join dim_products p on i.product_id = p.product_id
-      group by 1,2,3,4,5,6,7,8,9,10""",
+    "mart_orders": _MART,
+    "mart_orders_any_copies": _MART,
     "revenue_reconciliation": _with("raw_orders", "raw_order_items")
     + f"""select status, count(*) as orders, {dbl('sum(order_total)')} as header_total,
       {dbl('coalesce(sum(t), 0)')} as lines_total, {dbl('sum(order_total) - coalesce(sum(t), 0)')} as difference,
@@ -408,8 +413,8 @@ ORACLE: dict[str, str] = {
     + f"""select customer_id, rfm_segment, recency_days, {dbl('monetary')} as monetary, frequency, rfm_score
       from metrics where rfm_segment is not null""",
     "spend_histogram": _with("metrics")
-    + f"""select cast(b as integer) as bin, round(mn + (mx - mn) / 40e0 * (b - 1), 6) as low,
-      round(mn + (mx - mn) / 40e0 * b, 6) as high, count(v) as customers
+    + f"""select cast(b as integer) as bin, round(mn + (mx - mn) / 40e0 * (b - 1), 2) as low,
+      round(mn + (mx - mn) / 40e0 * b, 2) as high, count(v) as customers
       from (select min({dbl('monetary')}) as mn, max({dbl('monetary')}) as mx from metrics),
         (select unnest(range(1, 41)) as b)
       left join (select {dbl('monetary')} as v from metrics where monetary is not null)

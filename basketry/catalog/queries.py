@@ -49,10 +49,14 @@ class Shop:
     def facts(self) -> DataFrame:
         return self.order_facts()
 
+    @cached_property
+    def unique_orders(self) -> bool:
+        return facts.has_unique_orders(self.raw("orders"))
+
     def order_facts(self, raw_margin: bool = False) -> DataFrame:
         orders = staging.stg_orders(self.raw("orders"), weekday=rules.dow_sunday1)
         products = self.products if not raw_margin else self.raw("products")
-        return facts.fct_orders(orders, self.raw("order_items"), products, raw_margin)
+        return facts.fct_orders(orders, self.raw("order_items"), products, raw_margin, self.unique_orders)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -186,6 +190,12 @@ def fct_orders_raw_margin(shop: Shop) -> DataFrame:
 
 @query
 def mart_orders(shop: Shop) -> DataFrame:
+    return facts.mart_orders(shop.orders, shop.customers, shop.items, shop.products, shop.unique_orders)
+
+
+@query
+def mart_orders_any_copies(shop: Shop) -> DataFrame:
+    """The same without relying on unique order ids."""
     return facts.mart_orders(shop.orders, shop.customers, shop.items, shop.products)
 
 
@@ -320,18 +330,18 @@ def recency_monetary_points(shop: Shop) -> DataFrame:
 
 @query
 def spend_histogram(shop: Shop) -> DataFrame:
-    return rounded(reports.spend_histogram(shop.metrics), 6, "low", "high")
+    return rounded(reports.spend_histogram(shop.metrics), 2, "low", "high")
 
 
 @query
 def spend_spread_by_segment(shop: Shop) -> DataFrame:
-    return rounded(reports.spread_by_segment(shop.metrics, "monetary"), 6, *reports.FIVE_NUMBERS)
+    return rounded(reports.spread_by_segment(shop.metrics, "monetary"), 4, *reports.FIVE_NUMBERS)
 
 
 @query
 def spend_spread_ranged(shop: Shop) -> DataFrame:
     spread = reports.spread_by_segment(shop.metrics, "monetary", method="ranged")
-    return rounded(spread, 6, *reports.FIVE_NUMBERS)
+    return rounded(spread, 4, *reports.FIVE_NUMBERS)
 
 
 @query

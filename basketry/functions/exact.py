@@ -6,6 +6,8 @@ not depend on the order in which partial sums arrive, and becomes a double only
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,21 @@ def units(value: Column, scale: int, wide: bool = False) -> Column:
     return (value * F.lit(10**scale)).cast(WIDE if wide else "bigint")
 
 
+def cents(money: Column) -> Column:
+    """A money value as a whole number of cents.
+
+    Summing bigints keeps a grouping on many keys in primitive buffers, which DECIMAL(28,2) sums leave. The
+    double detour is exact for values up to 9e12; larger ones take the decimal way.
+    """
+    limit = F.lit(Decimal("9000000000000.00"))
+    near = money.between(-limit, limit)
+    return F.when(near, F.rint(money.cast("double") * F.lit(100.0)).cast("bigint")).otherwise(units(money, 2))
+
+
+def from_cents(total: Column) -> Column:
+    return (total.cast("decimal(26,0)") * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
+
 def half_up(numerator: Column, denominator: Column, shift: int) -> Column:
     """`numerator * 10**shift / denominator`, rounded half away from zero to a whole number.
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
-from basketry.functions.exact import rounded_mean, rounded_ratio, units
+from basketry.functions.exact import cents, from_cents, rounded_mean, rounded_ratio, units
+from basketry.operators.quality import duplicate_keys
 
 ORDER_COLUMNS = (
     "order_id",
@@ -43,11 +44,17 @@ def lines_per_order(items: DataFrame, products: DataFrame, raw_margin: bool = Fa
     priced = products.select("product_id", "category", margin.alias("_margin"))
     grouped = (
         items.where("order_id IS NOT NULL")
-        .select("order_id", "product_id", "item_id", "line_total", units(F.col("discount"), 2).alias("_discount"))
+        .select(
+            "order_id",
+            "product_id",
+            "item_id",
+            cents(F.col("line_total")).alias("_cents"),
+            cents(F.col("discount")).alias("_discount"),
+        )
         .join(priced, "product_id", "left")
         .groupBy("order_id")
         .agg(
-            F.sum("line_total").alias("_total"),
+            F.sum("_cents").alias("_cents"),
             F.count("item_id").alias("_lines"),
             F.sum("_discount").alias("_discounts"),
             F.count("_discount").alias("_discounted"),
@@ -58,7 +65,7 @@ def lines_per_order(items: DataFrame, products: DataFrame, raw_margin: bool = Fa
     )
     return grouped.select(
         F.col("order_id").alias("_order"),
-        "_total",
+        from_cents(F.col("_cents")).alias("_total"),
         "_lines",
         rounded_mean(F.col("_discounts"), F.col("_discounted"), 2, 4).alias("avg_discount"),
         rounded_mean(F.col("_margins"), F.col("_margined"), places, 4, wide=raw_margin).alias("avg_margin"),
@@ -81,6 +88,11 @@ def _per_distinct_order(joined: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def has_unique_orders(orders: DataFrame) -> bool:
+    """Whether no order id repeats; shuffles the ids only."""
+    return duplicate_keys(orders, "order_id").isEmpty()
+
+
 def fct_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -93,7 +105,7 @@ def fct_orders(
 
     `orders` comes from `stg_orders`, `products` from `dim_products`. Identical copies of an order become one
     row that counts the lines once per copy, as grouping the joined rows would. The grouping reuses the
-    partitioning of the join; `unique_orders=True`, safe once the uniqueness test has passed, skips it.
+    partitioning of the join; `unique_orders=True`, safe where `has_unique_orders` holds, skips it.
     """
     lines = lines_per_order(items, products, raw_margin)
     keys, extra = list(ORDER_COLUMNS), []
@@ -144,7 +156,7 @@ def revenue_reconciliation(orders: DataFrame, items: DataFrame) -> DataFrame:
     lines = (
         items.where("order_id IS NOT NULL")
         .groupBy(F.col("order_id").alias("_order"))
-        .agg(F.sum("line_total").alias("_lines"))
+        .agg(from_cents(F.sum(cents(F.col("line_total")))).alias("_lines"))
     )
     both = orders.join(lines, F.col("order_id") == F.col("_order"), "left")
     differs = ~F.coalesce("order_total", F.lit(0)).eqNullSafe(F.coalesce("_lines", F.lit(0)))

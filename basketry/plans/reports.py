@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
-from basketry.functions.exact import mean_money, plain_ratio, rounded_mean
+from basketry.functions.exact import cents, from_cents, mean_money, plain_ratio, rounded_mean
 from basketry.operators.distribution import distinct_sorted, histogram, value_counts
 from basketry.operators.ranking import quantiles
 from basketry.plans.facts import completed_lines
@@ -59,16 +59,21 @@ def top_revenue_months(facts: DataFrame, limit: int = 5) -> DataFrame:
 def category_revenue(items: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
     """Distinct completed orders, revenue and mean line value per category.
 
-    The lines are shuffled once, on order_id, for the join with the orders; the distinct count reuses that
-    partitioning and only per-category partials travel again.
+    Lines are first summed per order and category, so that the distinct count is a plain count and a category
+    with most of the lines is spread over its orders.
     """
-    return (
+    per_order = (
         completed_lines(items, products, orders)
-        .groupBy("category")
+        .groupBy("category", "order_id")
+        .agg(F.sum(cents(F.col("line_total"))).alias("_cents"), F.count("line_total").alias("_lines"))
+    )
+    total = F.sum(F.col("_cents").cast("decimal(20,0)"))
+    return (
+        per_order.groupBy("category")
         .agg(
-            F.count_distinct("order_id").alias("num_orders"),
-            F.sum("line_total").alias("total_revenue"),
-            mean_money("line_total").alias("avg_line_value"),
+            F.count("order_id").alias("num_orders"),
+            from_cents(total).alias("total_revenue"),
+            rounded_mean(total, F.sum("_lines"), 2, 2, wide=True).alias("avg_line_value"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("category").asc_nulls_last())
     )

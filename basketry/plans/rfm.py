@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
+from basketry.functions.exact import cents, from_cents
 from basketry.operators.ranking import SMALL_ROWS, ntiles
 
 MEASURES = ("recency_days", "frequency", "monetary")
@@ -26,7 +27,7 @@ def rfm_base(orders: DataFrame, status: str = "completed") -> DataFrame:
         .agg(
             F.datediff(last, F.max(day)).alias("recency_days"),
             F.count("order_id").alias("frequency"),
-            F.sum("order_total").alias("monetary"),
+            from_cents(F.sum(cents(F.col("order_total")))).alias("monetary"),
             F.min(day).alias("first_order_date"),
             F.max(day).alias("last_order_date"),
         )

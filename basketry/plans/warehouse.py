@@ -14,7 +14,6 @@ from basketry.operators.quality import (
     DataTest,
     Expectation,
     assert_quality,
-    duplicate_keys,
     gate_report,
     run_data_tests,
 )
@@ -131,7 +130,7 @@ def run_pipeline(
     ingested = ingest(spark, raw_folder, database)
     raw = raw_tables(spark, database)
     assert_quality(gate_report(raw, expectations(min_customers)))
-    unique_orders = duplicate_keys(raw["raw_orders"], "order_id").isEmpty()
+    unique_orders = facts.has_unique_orders(raw["raw_orders"])
     written = write_star_schema(star_schema(raw, unique_orders), warehouse)
     models = build_models(raw, database)
     failed = run_data_tests(models, DATA_TESTS).where("NOT passed").collect()  # at most one row per test
