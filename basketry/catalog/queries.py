@@ -25,9 +25,12 @@ class Shop:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark), folder
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.folder, f"raw_{name}")
+        if name not in self._raw:
+            self._raw[name] = raw_table(self.spark, self.folder, f"raw_{name}")
+        return self._raw[name]
 
     @cached_property
     def customers(self) -> DataFrame:
