@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import materialise
+from basketry.session import materialise, small_side
 
 SMALL_ROWS = 1_000_000
 METHODS = ("auto", "window", "ranged")
@@ -71,7 +71,7 @@ def rows_at(laid: DataFrame, group: str, ranks: Callable[[Column], Sequence[Colu
         & (F.col("_block") == F.col("_at"))
         & (F.col("_place") == F.col("_spot"))
     )
-    return laid.join(spots, hit).drop("_group", "_at", "_spot", "_block", "_place")
+    return laid.join(small_side(spots), hit).drop("_group", "_at", "_spot", "_block", "_place")
 
 
 def tile_ends(count: Column, tiles: int) -> list[Column]:
@@ -142,7 +142,9 @@ def quantiles(
         found = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), at.alias("_q"))
         return found.select(group, "rows", *(F.col("_q")[i].alias(n) for i, n in enumerate(points)))
 
-    laid = _laid_out(rows, [F.col(group).asc_nulls_last(), F.col("_value")])
+    # Equal values are told apart by a number of no meaning, so that they too spread over blocks.
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    laid = _laid_out(tied, [F.col(group).asc_nulls_last(), F.col("_value"), F.col("_tie")])
 
     def ranks(n: Column) -> list[Column]:
         spots = [(n - 1) * F.lit(float(p)) for p in points.values()]
@@ -194,7 +196,8 @@ def lowest_share(
         F.col(group).alias("_group"), F.struct(*order).alias("_last")
     )
     flag = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
-    return df.join(last, F.col(group).eqNullSafe(F.col("_group")), "left").withColumn(name, flag).drop("_group", "_last")
+    marked = df.join(small_side(last), F.col(group).eqNullSafe(F.col("_group")), "left").withColumn(name, flag)
+    return marked.drop("_group", "_last")
 
 
 def running_totals(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import rules
 from basketry.functions.exact import plain_ratio, rounded_mean, units
+from basketry.session import small_side
 
 COLUMNS = ("recency_days", "frequency", "monetary")
 VALUE_LABELS = ("High Value", "Mid Value", "Low Value", "Dormant")
@@ -108,4 +109,4 @@ def label_clusters(df: DataFrame, labels: Sequence[str] = SEGMENT_LABELS, name:
     """Give every customer the label of their cluster."""
     means = df.groupBy("cluster").agg(plain_ratio(F.sum("monetary"), F.count("monetary")).alias("_mean"))
     named = _ranked(means, labels).select(F.col("cluster").alias("_cluster"), F.col("label").alias(name))
-    return df.join(named, F.col("cluster") == F.col("_cluster"), "left").drop("_cluster")
+    return df.join(small_side(named), F.col("cluster") == F.col("_cluster"), "left").drop("_cluster")

@@ -64,3 +64,16 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     seen = Observation()
     kept = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint()
     return kept, seen.get["rows"]
+
+
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Materialise a summary table and mark it for broadcast if its counted rows are few.
+
+    For sides such as one row per class or cluster: Spark cannot tell their size beforehand, and a shuffle on
+    so few keys would gather the other side in as many tasks.
+    """
+    kept, rows = materialise(df)
+    return F.broadcast(kept) if rows <= BROADCAST_ROWS else kept

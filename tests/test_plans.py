@@ -5,6 +5,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.operators import ranking
 from basketry.plans import facts, reports, rfm, staging
 from basketry.sources.sample_tables import raw_table
 
@@ -126,3 +127,32 @@ def test_top_products_use_a_bounded_heap(spark):
     raw = {n: raw_table(spark, FOLDER, f"raw_{n}") for n in ("order_items", "products", "orders")}
     plan = reports.top_products(*raw.values())._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_equal_values_spread_over_blocks(spark, monkeypatch):
+    """Three quarters of the values are equal; no block may hold them all, and their filter moves no rows."""
+    layouts = []
+    lay_out = ranking._laid_out
+    monkeypatch.setattr(ranking, "_laid_out", lambda *a: layouts.append(lay_out(*a)) or layouts[-1])
+    frame = spark.range(40000).selectExpr("'all' as g", "if(id % 4 = 0, id, 7) as v").repartition(8)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        ranged = ranking.quantiles(frame, "g", "v", {"mid": 0.5, "hi": 0.99}, "ranged")
+        window = ranking.quantiles(frame, "g", "v", {"mid": 0.5, "hi": 0.99}, "window")
+        assert ranged.collect() == window.collect()
+    sizes = [r["count"] for r in layouts[0].groupBy("_block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 10000
+
+
+def test_rows_at_ranks_are_found_without_moving_the_table(spark):
+    laid = ranking._laid_out(spark.range(1000).selectExpr("id % 2 as g", "id"), [F.col("g"), F.col("id")])
+    found = ranking.rows_at(laid, "g", lambda n: [F.lit(1), n])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.id for r in found.collect()) == [0, 1, 998, 999]
+
+
+def test_stratified_marks_do_not_shuffle_the_rows_by_class(spark):
+    frame = spark.range(1000).selectExpr("cast(id % 2 as int) as churned", "md5(cast(id as string)) as draw")
+    marked = ranking.lowest_share(frame, "churned", ["draw"], (1, 5), "low", "ranged")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(churned" not in plan and marked.where("low").count() == 200
