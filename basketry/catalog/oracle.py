@@ -422,7 +422,7 @@ ORACLE: dict[str, str] = {
       group by b, mn, mx""",
     "spend_spread_by_segment": _with("metrics") + _SPREAD,
     "spend_spread_ranged": _with("metrics") + _SPREAD,
-    "pipeline_stats": _with("raw_orders")
+    "run_statistics": _with("raw_orders")
     + f"""select count(*) as total_orders, {dbl('sum(order_total)')} as total_revenue,
       count(distinct customer_id) as unique_customers from raw_orders where status = 'completed'""",
     "warehouse_counts": _with("dim_customers", "dim_products", "fct_orders", "metrics", "raw_events")

@@ -348,8 +348,8 @@ def spend_spread_ranged(shop: Shop) -> DataFrame:
 
 
 @query
-def pipeline_stats(shop: Shop) -> DataFrame:
-    return reports.pipeline_stats(shop.raw("orders"))
+def run_statistics(shop: Shop) -> DataFrame:
+    return reports.run_statistics(shop.raw("orders"))
 
 
 @query

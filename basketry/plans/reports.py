@@ -192,7 +192,7 @@ def spread_by_segment(metrics: DataFrame, value: str, method: str = "auto") -> D
     return spread.withColumnRenamed("rows", "customers").orderBy("rfm_segment")
 
 
-def pipeline_stats(orders: DataFrame) -> DataFrame:
+def run_statistics(orders: DataFrame) -> DataFrame:
     return orders.where(_completed()).agg(
         _rows().alias("total_orders"),
         F.sum("order_total").alias("total_revenue"),

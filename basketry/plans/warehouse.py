@@ -137,4 +137,4 @@ def run_pipeline(
     if failed:
         lines = [f"{r.model}.{r.column_name} {r.test}: {r.failures} failures" for r in failed]
         raise DataQualityError("data tests failed:\n" + "\n".join(lines))
-    return Run(ingested, written, reports.pipeline_stats(raw["raw_orders"]).first())
+    return Run(ingested, written, reports.run_statistics(raw["raw_orders"]).first())

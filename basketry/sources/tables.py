@@ -31,9 +31,18 @@ def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(_typed(f.name, f.dataType) for f in schema.fields))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header line. With a schema the file is read once; without one Spark infers the types."""
-    reader = spark.read.option("header", True)
+# A quote inside a quoted field is doubled.
+CSV = {"header": "true", "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header line. With a schema the file is read once; without one Spark infers the types.
+
+    `multiline` allows line breaks inside quotes, at the price of one task per file.
+    """
+    reader = spark.read.options(**CSV).option("multiLine", multiline)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -51,7 +60,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header line; timestamps keep their microseconds."""
     micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").options(**CSV)
     writer.option("timestampFormat", micros).option("timestampNTZFormat", micros).csv(path)
 
 

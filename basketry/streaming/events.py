@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.plans.staging import fct_events
 from basketry.sources.schemas import RAW
-from basketry.sources.tables import cast_columns
+from basketry.sources.tables import CSV, cast_columns
 
 
 def read_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events from CSV files dropped into a folder."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW["raw_events"].fields])
-    files = spark.readStream.schema(text).option("header", True).csv(folder)
+    files = spark.readStream.schema(text).options(**CSV).csv(folder)
     return cast_columns(files, RAW["raw_events"])
 
 

@@ -69,6 +69,20 @@ def test_csv_types(spark, tmp_path):
     assert dict(read_csv(spark, str(tmp_path / "customers.csv")).dtypes)["age"] == "string"
 
 
+def test_csv_quotes_and_line_breaks_survive(spark, tmp_path):
+    rows = [("e1", 'say "hi", you', "s", "view", "a\nb", None, "d", "o")]
+    events = spark.createDataFrame(rows, RAW["raw_events"])
+    write_csv(events, str(tmp_path / "events"))
+    back = read_csv(spark, str(tmp_path / "events"), RAW["raw_events"], multiline=True)
+    assert back.collect() == events.collect()
+
+
+def test_csv_header_must_fit_the_schema(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(tmp_path / "x.csv"), spark.createDataFrame([], "a string, b string").schema).collect()
+
+
 def test_raw_schemas(spark, raw_folder):
     for name, df in read_raw(spark, raw_folder).items():
         assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in RAW[name]]
