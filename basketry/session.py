@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,16 +40,18 @@ def local_session(cores: int | str = "*", app: str = "basketry", **conf: str) ->
     return tune(spark)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate files: `spark.checkpoint.dir`, or where that is unset one beside the warehouse's tables.
+
+    Both are reached by every executor; a folder of one machine never is.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate").rstrip("/")
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="basketry-checkpoint-")
-    context.setCheckpointDir(shared)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def materialise(df: DataFrame) -> tuple[DataFrame, int]:

@@ -8,7 +8,8 @@ from basketry.session import ADAPTIVE, _ensure_checkpoint_dir, materialise, smal
 def fake(master, setting=None, current=None):
     chosen = []
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: current, setCheckpointDir=chosen.append)
-    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: setting))
+    values = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default=None: values[name]))
     return session, chosen
 
 
@@ -18,11 +19,11 @@ def test_shared_folder_is_read_from_the_session():
     assert chosen == ["hdfs:///shared"]
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    session, chosen = fake("spark://host")
-    with pytest.raises(RuntimeError):
-        _ensure_checkpoint_dir(session)
-    assert not chosen
+@pytest.mark.parametrize("master", ["spark://host", "local[2]"])
+def test_unset_folder_lies_beside_the_tables(master):
+    session, chosen = fake(master)
+    _ensure_checkpoint_dir(session)
+    assert chosen == ["hdfs:///warehouse/_intermediate"]
 
 
 def test_existing_folder_is_kept():
