@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from basketry.catalog.oracle import ORACLE
+from basketry.catalog.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -35,10 +37,10 @@ def _rows(columns, rows):
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, duck, name):
-    df = queries()[name](spark, FOLDER)
-    cursor = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    cursor = duck.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     expected = cursor.fetchall()
     assert sorted(df.columns) == sorted(columns)
@@ -49,13 +51,13 @@ def test_matches_sql(spark, duck, name):
     assert not differing, (len(differing), differing[:3])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_model_query_has_rows(spark, name):
-    assert queries()[name](spark, FOLDER).limit(1).count() == 1
+    assert QUERIES[name](spark, FOLDER).limit(1).count() == 1
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry_has_one_row_per_category(spark):
