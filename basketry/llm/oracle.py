@@ -18,6 +18,18 @@ ORACLE = {
         select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
                sha256(coalesce(string_agg(line, chr(10) order by place) filter (not dropped), '')) as kept_sha256
         from judged group by doc_id""",
+    "op2_exact_topk": """
+        with vectors as (
+            select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+            from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0),
+        ranked as (
+            select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+                   vec_id, score from scored)
+        select * from ranked where rank <= 20""",
     "op5_decontamination": rf"""
         with items as (
             select item_id, regexp_extract_all({LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),

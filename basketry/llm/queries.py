@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, line_dedup, packing, token_files
+from basketry.llm import decontaminate, html_text, line_dedup, packing, quality, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -38,6 +38,17 @@ def op1_line_dedup(table) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op2_exact_topk(table) -> DataFrame:
+    vectors = topk.integer_vectors(table("embeddings"))
+    return topk.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op4_html_extraction(table) -> DataFrame:
+    return html_text.extract_text(table("pages"))
+
+
 @query
 def op5_decontamination(table) -> DataFrame:
     judged = decontaminate.contamination(table("documents"), table("benchmark"))
@@ -56,6 +67,15 @@ def op8_packing(table) -> DataFrame:
     return packing.pack(table("documents"), tokenizer_path(), end_id=0, capacity=1024)
 
 
+@query
+def op9_quality(table) -> DataFrame:
+    documents = table("documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = quality.fit(documents.where(~held_out), table("labels"))
+    scored = quality.score(documents, model, F.col("doc_id").cast("long").alias("doc_id"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op10_token_files(table) -> DataFrame:
     documents = table("documents")

@@ -1,8 +1,8 @@
-"""Documents as flat token files: unsigned 32-bit ids, 64-bit document offsets, and a manifest of the parts.
+"""Documents as flat token files: unsigned ids, 64-bit document offsets, and a manifest of the parts.
 
 Rows are dealt to parts by ranges of doc_id, so the parts in order are the corpus in ascending doc_id order. Each part is
-three flat little-endian files (ids, offsets of its documents, doc_ids); the manifest says how many documents and ids
-precede it, which are prefix sums over one row a part. A file counts only if the manifest names it: every attempt of a
+three flat little-endian files: ids in 16 bits where the vocabulary fits and 32 otherwise, offsets of its documents, and
+doc_ids. The manifest names the width and says how many documents and ids precede, which are prefix sums over one row a part. A file counts only if the manifest names it: every attempt of a
 task writes names of its own, so what a lost executor leaves is never read.
 """
 
@@ -22,7 +22,7 @@ from basketry.llm.common import columns, texts
 from basketry.llm.tokenizer import encoder
 
 NO_ID = np.iinfo(np.int64).min
-MANIFEST = "part int, name string, n_docs long, n_ids long"
+MANIFEST = "part int, name string, width int, n_docs long, n_ids long"
 DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -38,6 +38,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str, en
         from pyspark import TaskContext
 
         part, encode = TaskContext.get().partitionId(), encoder(tokenizer_path).encode
+        width = 2 if max(encoder(tokenizer_path).n_ids - 1, end_id) < 2**16 else 4
         end = np.array([end_id], dtype="<u4").tobytes()
         store, root = fs.FileSystem.from_uri(folder)
         name, streams = f"part-{part:06d}-{uuid.uuid4().hex}", {}
@@ -50,7 +51,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str, en
             lengths = []
             for text in batch.column("text").to_pylist():
                 ids = encode(text) + end
-                streams["ids"].write(ids)
+                streams["ids"].write(np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes())
                 lengths.append(len(ids) // 4)
             streams["offsets"].write((n_ids + np.cumsum(lengths)).astype("<i8").tobytes())
             streams["docs"].write(np.array([NO_ID if d is None else d for d in columns(batch, "doc_id")[0]], dtype="<i8").tobytes())
@@ -58,7 +59,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str, en
         for stream in streams.values():
             stream.close()
         if streams:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "width": pa.array([width], pa.int32()), "n_docs": [n_docs], "n_ids": [n_ids]})
 
     spread = F.xxhash64("text")
     ordered = texts(documents).repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", spread, "text")
@@ -81,12 +82,12 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 class Part:
     """The flat files of one part: memory-mapped where the folder is a file system's, read by range elsewhere."""
 
-    def __init__(self, folder: str, name: str):
+    def __init__(self, folder: str, name: str, width: int):
         self.store, self.root = fs.FileSystem.from_uri(folder)
-        self.name = name
+        self.name, self.width = name, width
         self.offsets, self.docs = self._all("offsets"), self._all("docs")
         path = f"{self.root}/{name}.ids"
-        self.mapped = np.memmap(path, dtype="<u4", mode="r") if isinstance(self.store, fs.LocalFileSystem) else None
+        self.mapped = np.memmap(path, dtype=f"<u{width}", mode="r") if isinstance(self.store, fs.LocalFileSystem) else None
         self.file = None if self.mapped is not None else self.store.open_input_file(path)
 
     def _all(self, kind: str) -> np.ndarray:
@@ -94,10 +95,10 @@ class Part:
             return np.frombuffer(stream.read(), dtype="<i8")
 
     def ids(self, document: int) -> np.ndarray:
-        start, end = self.offsets[document : document + 2]
+        start, end = map(int, self.offsets[document : document + 2])
         if self.mapped is not None:
             return self.mapped[start:end]
-        return np.frombuffer(self.file.read_at(int(end - start) * 4, int(start) * 4), dtype="<u4")
+        return np.frombuffer(self.file.read_at((end - start) * self.width, start * self.width), dtype=f"<u{self.width}")
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,15 +106,15 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     def read_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, ids_before in zip(*columns(batch, "name", "ids_before"), strict=True):
-                part = Part(folder, name)
+            for name, width, ids_before in zip(*columns(batch, "name", "width", "ids_before"), strict=True):
+                part = Part(folder, name, width)
                 lengths = np.diff(part.offsets)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array([None if d == NO_ID else int(d) for d in part.docs], pa.int64()),
                         "start": ids_before + part.offsets[:-1],
                         "n_tokens": lengths,
-                        "ids_crc32": pa.array([zlib.crc32(part.ids(i)) for i in range(len(lengths))], pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(part.ids(i).astype("<u4")) for i in range(len(lengths))], pa.int64()),
                     }
                 )
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-KEPT_PIECES = 250_000
+KEPT_PIECES = 400_000
 
 # The piece pattern of byte-level BPE, restricted to Latin letters and ASCII digits; white space of Unicode.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -51,8 +52,11 @@ class TextEncoder:
             made = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        known = [c for c in map(chr, range(0x250)) if not FOREIGN.match(c)]
+        self.spelling = {ord(c): spelled(c)[0][0] for c in known}
         before = made["pre_tokenizer"] or {}
+        self.n_ids = self.tokenizer.get_vocab_size()
         self.by_piece = (
             made["model"]["type"] == "BPE"
             and made["normalizer"] is None
@@ -68,8 +72,9 @@ class TextEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = self.as_bytes.pre_tokenize_str(piece)[0][0]
-        return np.array([token.id for token in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+        spelled = "Ġ" + piece[1:] if piece[0] == " " and piece[1:].isalpha() and piece.isascii() else piece.translate(self.spelling)
+        ids = [token.id for token in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
         return self._whole(chunk) if FOREIGN.search(chunk) else b"".join([self.pieces[p] for p in PIECE.findall(chunk)])
