@@ -56,4 +56,24 @@ ORACLE = {
         select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from docs left join hit_words using (doc_id) left join hit_items using (doc_id)""",
+    "op7_substring_dedup": r"""
+        with docs as (
+            select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents),
+        places as (select doc_id, words, unnest(range(1, len(words) + 1)) as place from docs),
+        windows as (
+            select doc_id, place, array_to_string(list_slice(words, place, place + 34), ' ') as passage
+            from places where place + 34 <= len(words)),
+        often as (select passage from windows group by passage having count(*) > 1),
+        starts as (select doc_id, place, 1 as repeated from windows where passage in (select passage from often)),
+        judged as (
+            select p.doc_id, p.place, p.words[p.place] as word,
+                   max(coalesce(repeated, 0)) over (
+                       partition by p.doc_id order by p.place rows between 34 preceding and current row) = 1 as removed
+            from places p left join starts s on p.doc_id = s.doc_id and p.place = s.place),
+        kept as (
+            select doc_id, count(*) filter (removed) as n_removed,
+                   string_agg(word, ' ' order by place) filter (not removed) as kept
+            from judged group by doc_id)
+        select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from docs left join kept using (doc_id)""",
 }

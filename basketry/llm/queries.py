@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html_text, line_dedup, packing, quality, token_files, topk
+from basketry.llm import decontaminate, html_text, line_dedup, packing, quality, substring_dedup, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -62,6 +62,12 @@ def op5_decontamination(table) -> DataFrame:
     )
 
 
+@query
+def op7_substring_dedup(table) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table("documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_packing(table) -> DataFrame:
     return packing.pack(table("documents"), tokenizer_path(), end_id=0, capacity=1024)
