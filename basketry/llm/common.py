@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.session import shared_folder
@@ -32,6 +32,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`written`, and how many rows that wrote."""
+    seen = Observation()
+    kept = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return kept, seen.get["rows"]
+
+
 def attach(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
     """Left join on `keys`, in which two nulls are equal, so that rows without an id keep their results."""
     renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})

@@ -56,6 +56,27 @@ ORACLE = {
         select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from docs left join hit_words using (doc_id) left join hit_items using (doc_id)""",
+    "op6_near_dedup": rf"""
+        with recursive docs as (
+            select doc_id, coalesce(regexp_extract_all({LOWER.format("text")}, '[^\x20\x09-\x0D]+'), []) as words from documents),
+        runs as (
+            select doc_id, words, unnest(range(1, greatest(len(words) - 3, 0) + 2)) as place from docs where len(words) > 0),
+        shingles as (select distinct doc_id, array_to_string(list_slice(words, place, place + 2), ' ') as shingle from runs),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as overlap
+            from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+        links as (
+            select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * overlap >= 85 * (x.n + y.n - overlap)),
+        ends as (select a, b from links union all select b, a from links),
+        reached as (
+            select doc_id as node, doc_id as other from docs
+            union
+            select r.node, e.b from reached r join ends e on r.other = e.a),
+        least as (select node, min(other) as component_id from reached group by node)
+        select d.doc_id, coalesce(s.n, 0) as n_shingles, l.component_id, l.component_id = d.doc_id as kept
+        from docs d left join sizes s using (doc_id) join least l on l.node = d.doc_id""",
     "op7_substring_dedup": r"""
         with docs as (
             select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents),

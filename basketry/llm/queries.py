@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html_text, line_dedup, packing, quality, substring_dedup, token_files, topk
+from basketry.llm import decontaminate, html_text, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -62,6 +62,12 @@ def op5_decontamination(table) -> DataFrame:
     )
 
 
+@query
+def op6_near_dedup(table) -> DataFrame:
+    linked = near_dedup.near_duplicates(table("documents"), size=3, percent=85)
+    return linked.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query
 def op7_substring_dedup(table) -> DataFrame:
     kept = substring_dedup.dedup_substrings(table("documents"), window=35)
