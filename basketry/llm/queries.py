@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html_text, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, topk
+from basketry.llm import decontaminate, html_text, language_model, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -44,6 +44,11 @@ def op2_exact_topk(table) -> DataFrame:
     return topk.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+@query
+def op3_language_model(table) -> DataFrame:
+    return language_model.score(table("documents"))
+
+
 @query
 def op4_html_extraction(table) -> DataFrame:
     return html_text.extract_text(table("pages"))
