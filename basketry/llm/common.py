@@ -52,12 +52,10 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def texts(documents: DataFrame, fill: str | None = "") -> DataFrame:
-    """doc_id and text alone, whatever else the table holds; a null text becomes `fill`."""
-    text = F.col("text").cast("string")
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.coalesce(text, F.lit(fill)) if fill is not None else text).alias("text")
-    )
+def texts(documents: DataFrame, *keep: Column) -> DataFrame:
+    """doc_id, text and the `keep` columns, whatever else the table holds; a null text becomes the empty one."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *keep)
 
 
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:

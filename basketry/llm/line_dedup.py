@@ -88,8 +88,8 @@ def repeated_lines(documents: DataFrame, batches: int = 4, min_docs: int = 3, mi
     return runs
 
 
-def dedup_lines(documents: DataFrame, batches: int = 4, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
-    """(doc_id, print, n_lines, n_dropped, kept): the text without the lines another document keeps.
+def dedup_lines(documents: DataFrame, *keep: Column, batches: int = 4, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept, `keep` columns): the text without the lines another document keeps.
 
     A line's key is the line without ASCII white space at its ends and with A-Z lowered. Keys of at least `min_chars`
     code points in at least `min_docs` rows lose all their lines except in the largest doc_id that holds them. Every row
@@ -97,7 +97,7 @@ def dedup_lines(documents: DataFrame, batches: int = 4, min_docs: int = 3, min_c
     or empty text is one empty line. A document of which no line stays has the empty text. An empty table gives no rows.
     """
     runs = repeated_lines(documents, batches, min_docs, min_chars)
-    rows = texts(documents).withColumn("own", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("print", F.xxhash64("text"))
+    rows = texts(documents, *keep).withColumn("own", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("print", F.xxhash64("text"))
     placed = rows.select("own", "print", F.posexplode(_lines(F.col("text"))).alias("place", "line"))
     placed = placed.select("own", "print", "place", _key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     placed = placed.select("own", "print", "place", F.unhex(F.md5("key")).alias("hash"))
@@ -111,8 +111,8 @@ def dedup_lines(documents: DataFrame, batches: int = 4, min_docs: int = 3, min_c
     kept = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")
     return joined.select(
         "doc_id",
-        "print",
         F.size("lines").cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"),
         F.when(F.size("dropped") == 0, F.col("text")).otherwise(kept).alias("kept"),
+        *rows.columns[2:-2],
     )

@@ -170,12 +170,12 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, print, n_shingles, component_id): which documents are linked, directly or through others.
+    """(doc_id, print, n_shingles, component_id, root): which documents are linked, directly or through others.
 
     A document's set is its distinct runs of `size` words, words being what ASCII white space separates with A-Z lowered; a
     shorter text is one run. Two documents are linked if their sets share `percent` of their union. `component_id` is the
     smallest doc_id reachable. Null and empty texts have no set and are linked with nothing. Rows without an id take part;
-    a component of such rows alone has no id. Repeated rows are documents of their own, linked as equal sets are.
+    a component of such rows alone has no id, but `root` tells it apart too. Repeated rows are documents of their own, linked as equal sets are.
     """
     rows = written(sketches(documents, size), "sketches")
     full = rows.where(F.col("n_shingles") > 0)
@@ -199,7 +199,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         if roots is not None:
             component = attach(component.drop("root"), roots, "node").withColumn("root", F.coalesce("root", "node"))
     named = component.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = component.join(named, "root").select("node", "component_id")
-    linked = full.join(named, "node").select("doc_id", "print", "n_shingles", "component_id")
-    alone = rows.where(F.col("n_shingles") == 0).select("doc_id", "print", "n_shingles", F.col("doc_id").alias("component_id"))
+    named = component.join(named, "root").select("node", "component_id", "root")
+    linked = full.join(named, "node").select("doc_id", "print", "n_shingles", "component_id", "root")
+    alone = rows.where(F.col("n_shingles") == 0).select("doc_id", "print", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("root"))
     return linked.union(alone)

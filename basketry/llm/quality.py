@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.common import columns, list_column, small_batches, texts
 
@@ -149,5 +150,4 @@ def score(documents: DataFrame, model: Model | None, *keep: str | Column) -> Dat
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     rows = documents.select(*keep, text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(rate, f"{kinds}, score double" if kinds else "score double")
+    return rows.mapInArrow(rate, T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
