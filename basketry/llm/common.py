@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from basketry.session import shared_folder
 
@@ -67,6 +69,23 @@ def ascii_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxh3_64_intdigest(word)
+        return found
+
+
+_HASHES = _WordHashes()  # of the words met last, in each Python worker
+
+
+def word_hashes(lists: list[list[bytes]]) -> np.ndarray:
+    """64-bit hashes of the words of all lists, one after another."""
+    if len(_HASHES) > 500_000:
+        _HASHES.clear()
+    total = sum(map(len, lists))
+    return np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lists)), dtype=np.uint64, count=total)
+
+
 def list_column(rows: Iterable[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     rows = list(rows)
     ends = np.zeros(len(rows) + 1, dtype=np.int32)

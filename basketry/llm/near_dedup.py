@@ -13,16 +13,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
-from basketry.llm.common import ascii_words, attach, columns, counted, list_column, mixed, small_batches, texts, written
+from basketry.llm.common import ascii_words, attach, columns, counted, list_column, mixed, small_batches, texts, word_hashes, written
 from basketry.llm.components import components
 
 BANDS, ROWS = 24, 4
@@ -37,17 +36,12 @@ BORROWING = np.random.default_rng(0).permuted(np.tile(np.arange(BINS), (BINS, 1)
 FACTORS = np.random.default_rng(1).integers(0, 2**63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@lru_cache(maxsize=300_000)
-def _word_hash(word: bytes) -> int:
-    return xxh3_64_intdigest(word)
-
-
 def shingle_hashes(text: str, size: int) -> np.ndarray:
     """The distinct runs of `size` words as sorted hashes; fewer words are one run, no words none."""
     words = ascii_words(text)
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    hashes = mixed(np.array([_word_hash(w) for w in words], dtype=np.uint64))
+    hashes = mixed(word_hashes([words]))
     size = min(size, len(words))
     runs = np.full(len(words) - size + 1, size, dtype=np.uint64)
     for i in range(size):

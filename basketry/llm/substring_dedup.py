@@ -12,25 +12,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
-from basketry.llm.common import attach, columns, mixed, small_batches, texts, written
+from basketry.llm.common import attach, columns, mixed, small_batches, texts, word_hashes, written
 
 WINDOW = 35
 ROWS = 500  # documents hashed at a time
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # of the two halves of a window's hash
-PLACES = "doc_id long, print long, place int, high long, low long"
-
-
-@lru_cache(maxsize=300_000)
-def _word_hash(word: bytes) -> int:
-    return xxh3_64_intdigest(word)
+LANES = ("high", "low")
+PLACES = "doc_id long, print long, place int"
 
 
 class Words:
@@ -40,13 +35,15 @@ class Words:
         self.lists = [text.encode("utf-8", "surrogatepass").split() for text in columns(batch, "text")[0]]
         self.ends = np.cumsum([len(words) for words in self.lists])
         self.begins = self.ends - np.array([len(words) for words in self.lists], dtype=np.int64)
-        total = int(self.ends[-1]) if len(self.ends) else 0
-        self.hashes = np.fromiter((_word_hash(w) for words in self.lists for w in words), dtype=np.uint64, count=total)
         self.document = np.repeat(np.arange(len(self.lists)), self.ends - self.begins)
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return word_hashes(self.lists)
+
     def starts(self, length: int) -> np.ndarray:
         """Where a window of `length` words of one document can start."""
-        places = np.arange(len(self.hashes))
+        places = np.arange(len(self.document))
         return places[places + length <= self.ends[self.document]]
 
     def windows(self, length: int, lane: int = 0) -> np.ndarray:
@@ -54,29 +51,32 @@ class Words:
         done, factor, found = 1, MULTIPLIERS[lane], mixed(self.hashes + np.uint64(lane))
         while done < length:
             step = min(done, length - done)
-            later = np.concatenate([found[step:], np.zeros(step, dtype=np.uint64)])
+            later = np.zeros_like(found)
+            later[: max(len(found) - step, 0)] = found[step:]
             found = found * np.uint64(pow(factor, 2 * step + 1, 2**64)) + later
             done += step
         return mixed(found)
 
 
-def least_halves(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of all halves, the starts of windows, and for each the place of its half with the least hash."""
-    half = math.ceil(window / 2)
-    hashes, starts = words.windows(half), words.starts(window)
-    least, place = hashes[starts], starts.copy()
-    for further in range(1, window - half + 1):
-        other = hashes[starts + further]
-        smaller = other < least
-        least[smaller], place[smaller] = other[smaller], starts[smaller] + further
-    return hashes, starts, place
+def least_halves(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The starts of windows, and for each the place of the first of its halves with the least hash, again by doubling."""
+    least = words.windows(math.ceil(window / 2))
+    place, done, span = np.arange(len(least)), 1, window // 2 + 1
+    while done < span and len(least) > 1:
+        step = min(done, span - done)
+        smaller = least[step:] < least[:-step]
+        place = np.concatenate([np.where(smaller, place[step:], place[:-step]), place[-step:]])
+        least = np.concatenate([np.where(smaller, least[step:], least[:-step]), least[-step:]])
+        done += step
+    starts = words.starts(window)
+    return starts, place[starts]
 
 
 Chosen = Callable[[Words, pa.RecordBatch], tuple[np.ndarray, int]]
 
 
-def _places(rows: DataFrame, chosen: Chosen) -> DataFrame:
-    """The places that `chosen` picks, with both halves of the hash of the window of its length."""
+def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
+    """The places that `chosen` picks, with the hash of the window of its length in so many 64-bit lanes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, ROWS):
@@ -88,24 +88,25 @@ def _places(rows: DataFrame, chosen: Chosen) -> DataFrame:
                     batch.column("doc_id").take(pa.array(document)),
                     batch.column("print").take(pa.array(document)),
                     pa.array((at - words.begins[document]).astype(np.int32)),
-                    *(pa.array(words.windows(length, lane)[at].view(np.int64)) for lane in (0, 1)),
+                    *(pa.array(words.windows(length, lane)[at].view(np.int64)) for lane in range(lanes)),
                 ],
-                ["doc_id", "print", "place", "high", "low"],
+                ["doc_id", "print", "place", *LANES[:lanes]],
             )
 
-    return rows.mapInArrow(emit, PLACES)
+    return rows.mapInArrow(emit, ", ".join([PLACES, *(f"{name} long" for name in LANES[:lanes])]))
 
 
 def _repeated(places: DataFrame, name: str) -> DataFrame:
     """(doc_id, print, places): those whose window occurs more than once."""
-    often = places.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("high", "low")
-    found = places.join(often, ["high", "low"]).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
+    lanes = [name for name in LANES if name in places.columns]
+    often = places.groupBy(*lanes).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*lanes)
+    found = places.join(often, lanes).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
     return found
 
 
 def _listed(words: Words, batch: pa.RecordBatch, name: str) -> np.ndarray:
     """Whether each place of the documents is in their list column `name`."""
-    marked = np.zeros(len(words.hashes), dtype=bool)
+    marked = np.zeros(len(words.document), dtype=bool)
     for begin, places in zip(words.begins, batch.column(name), strict=True):
         if places.is_valid:
             marked[begin + places.values.to_numpy()] = True
@@ -117,13 +118,13 @@ def repeated_starts(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = texts(documents).withColumn("print", F.xxhash64("text"))
 
     def halves(words: Words, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
-        return np.unique(least_halves(words, window)[2]), math.ceil(window / 2)
+        return np.unique(least_halves(words, window)[1]), math.ceil(window / 2)
 
     def wholes(words: Words, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
-        _, starts, place = least_halves(words, window)
+        starts, place = least_halves(words, window)
         return starts[_listed(words, batch, "halves")[place]], window
 
-    met = attach(rows, written(_repeated(_places(rows, halves), "halves"), "repeated-halves"), "doc_id", "print")
+    met = attach(rows, written(_repeated(_places(rows, halves, lanes=1), "halves"), "repeated-halves"), "doc_id", "print")
     some = met.where(F.col("halves").isNotNull())
     return attach(met, _repeated(_places(some, wholes), "starts"), "doc_id", "print").select("doc_id", "print", "text", "starts")
 
@@ -160,13 +161,13 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     Words are what ASCII white space separates; a window is `window` consecutive words of one row that start anywhere
     else too, in the same row or another. Windows are judged on the input. The words that stay are joined by one space.
     Null and empty texts have no words. Every row is a text of its own, so repeated rows lose all windows. Windows are told
-    apart by 128-bit hashes, halves too. An empty table gives no rows.
+    apart by 128-bit hashes; of halves 64 bits choose which windows are looked at. An empty table gives no rows.
     """
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, ROWS):
             words = Words(batch)
-            edges = np.zeros(len(words.hashes) + 1, dtype=np.int32)
+            edges = np.zeros(len(words.document) + 1, dtype=np.int32)
             starts = np.flatnonzero(_listed(words, batch, "starts"))
             edges[starts] += 1
             edges[starts + window] -= 1
