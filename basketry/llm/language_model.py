@@ -38,7 +38,9 @@ END = b""  # no word is empty
 POSTINGS = "block long, word binary, context array<short>, document array<short>, doc_ids array<long>, held array<boolean>"
 COUNTS = "word binary, context array<short>, n array<int>"
 MODEL = "word binary, total long, context array<short>, probability array<float>, parent array<double>"
-SUMS = "block long, document int, n_tokens long, n_known long, base_score double, score double"
+SUMS = "block long, document array<short>, n_tokens array<int>, n_known array<int>, base_score array<double>, score array<double>"
+MEASURES = ("n_tokens", "n_known", "base_score", "score")
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def is_held_out(doc_id: int | None, parts: int = 7, part: int = 2) -> bool:
@@ -291,6 +293,38 @@ def fit(posted: DataFrame) -> Model:
     return Model(counts.mapInArrow(predict, MODEL), tokens, vocabulary, opening, np.array(unknown))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the value rows of each key."""
+    every, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    own, place = np.unique(every, return_inverse=True)
+    return own, np.stack([np.bincount(place, weights=v, minlength=len(own)) for v in values.T], axis=1)
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add up the sums of each block's documents, whose ids come in a row of their own."""
+    listed, waiting = {}, []
+    for batch in batches:
+        ids, held = columns(batch, "doc_ids", "held")
+        listed |= {b: (i, h) for b, i, h in zip(columns(batch, "block")[0], ids, held, strict=True) if i is not None}
+        document, lengths = _flat(batch.column("document"))
+        if len(document):
+            block = np.repeat(batch.column("block").to_numpy(), lengths)
+            values = [_flat(batch.column(m))[0].astype(np.float64) for m in MEASURES]
+            waiting.append((block * DOCUMENTS + document, np.stack(values, axis=1)))
+        if sum(len(k) for k, _ in waiting) > HELD_ENTRIES // 4:
+            waiting = [_added(waiting)]
+    if not waiting:
+        return
+    keys, values = _added(waiting)
+    for block, (ids, held) in sorted(listed.items()):
+        at = slice(*np.searchsorted(keys, [block * DOCUMENTS, (block + 1) * DOCUMENTS]))
+        counts = values[at, :2].astype(np.int64).T
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(held), *map(pa.array, counts), *map(pa.array, values[at, 2:].T.copy())],
+            ["doc_id", "held_out", *MEASURES],
+        )
+
+
 def score(documents: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -310,16 +344,14 @@ def score(documents: DataFrame) -> DataFrame:
         keys, sums, waiting = np.zeros(0, dtype=np.int64), np.zeros((0, 4)), []
 
         def added() -> tuple[np.ndarray, np.ndarray]:
-            every, values = (np.concatenate(x) for x in zip((keys, sums), *waiting, strict=True))
-            own, place = np.unique(every, return_inverse=True)
-            return own, np.stack([np.bincount(place, weights=v, minlength=len(own)) for v in values.T], axis=1)
+            return _added([(keys, sums), *waiting])
 
         def rows(own: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            counts = values[:, :2].astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(own // DOCUMENTS), pa.array((own % DOCUMENTS).astype(np.int32)), *map(pa.array, (*counts.T, *values.T[2:].copy()))],
-                ["block", "document", "n_tokens", "n_known", "base_score", "score"],
-            )
+            blocks, each = np.unique(own // DOCUMENTS, return_counts=True)
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
+            lists = [_grouped((own % DOCUMENTS).astype(np.int16), each, pa.int16())]
+            lists += [_grouped(v.astype(k.to_pandas_dtype()), each, k) for v, k in zip(values.T, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(blocks), *lists], ["block", "document", *MEASURES])
 
         for batch in batches:
             context, lengths = _flat(batch.column("context"))
@@ -350,16 +382,7 @@ def score(documents: DataFrame) -> DataFrame:
 
     seen = model.rows.withColumnRenamed("context", "seen")
     met = posted.where(F.col("word").isNotNull()).select("block", "word", "context", "document").join(seen, "word", "left")
-    summed = met.drop("word").mapInArrow(sum_up, SUMS).groupBy("block", "document").agg(
-        *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))
-    )
-    listed = posted.where(F.col("word").isNull()).select("block", F.posexplode(F.arrays_zip("doc_ids", "held")).alias("document", "e"))
-    return listed.join(summed, ["block", "document"]).select(
-        F.col("e.doc_ids").alias("doc_id"),
-        F.col("e.held").alias("held_out"),
-        "n_tokens",
-        "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
+    sums = met.drop("word").mapInArrow(sum_up, SUMS)
+    listed = posted.where(F.col("word").isNull()).select("block", "doc_ids", "held")
+    scored = sums.unionByName(listed, allowMissingColumns=True).repartition("block").mapInArrow(_finish, SCORED)
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
