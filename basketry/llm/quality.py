@@ -121,7 +121,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
     for i, row in enumerate(rows):
         dense[i, row["terms"]] = row["weights"]
     weights = np.log((1 + len(rows)) / (1 + np.count_nonzero(dense, axis=0))).astype(np.float32) + 1
-    dense = unit(dense * weights)
+    dense *= weights  # in place: this is the largest array of the driver
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
     draw = np.random.default_rng(seed).standard_normal((TERMS, DIMENSIONS + 16)).astype(np.float32)
     basis = np.linalg.qr(dense @ draw)[0]
     for _ in range(4):  # power iterations sharpen the leading directions
