@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from functools import reduce
-from itertools import chain
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -69,21 +68,62 @@ def ascii_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxh3_64_intdigest(word)
-        return found
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of UTF-8 bytes begin and end; ASCII white space parts them."""
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    edges = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1, append=1))
+    return edges[::2], edges[1::2]
 
 
-_HASHES = _WordHashes()  # of the words met last, in each Python worker
+LONGEST = 1 << 18  # bytes hashed in one go; a longer word is hashed by the library, whatever surrounds it
+BYTE_VALUES = np.random.default_rng(2).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BASE = 0x9E3779B97F4A7C15
 
 
-def word_hashes(lists: list[list[bytes]]) -> np.ndarray:
-    """64-bit hashes of the words of all lists, one after another."""
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    total = sum(map(len, lists))
-    return np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lists)), dtype=np.uint64, count=total)
+def powers(base: int, upto: int) -> np.ndarray:
+    factors = np.full(upto + 1, base, dtype=np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+POWERS, INVERSES = powers(BASE, LONGEST), powers(pow(BASE, -1, 2**64), LONGEST)
+
+
+def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial of random values of its bytes, from running sums over many words at once."""
+    found, at = np.empty(len(begins), dtype=np.uint64), 0
+    while at < len(begins):
+        first = begins[at]
+        till = int(np.searchsorted(ends, first + LONGEST, side="right"))
+        if till <= at:
+            found[at] = xxh3_64_intdigest(data[first : ends[at]].tobytes())
+            at += 1
+            continue
+        part = data[first : ends[till - 1]]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_VALUES[part] * POWERS[: len(part)], out=sums[1:])
+        begin, end = begins[at:till] - first, ends[at:till] - first
+        found[at:till] = (sums[end] - sums[begin]) * INVERSES[begin]
+        at = till
+    return mixed(found)
+
+
+class Words:
+    """The words of some texts, one after another: hashes, the number of their text, and where each text begins and ends."""
+
+    def __init__(self, texts: list[str | None], lower: bool = False):
+        encoded = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+        joined = b"\n".join(encoded)
+        self.data = np.frombuffer(joined.lower() if lower else joined, dtype=np.uint8)
+        self.first, self.last = word_spans(self.data)
+        lengths = np.array([len(e) + 1 for e in encoded], dtype=np.int64)
+        self.ends = np.searchsorted(self.first, np.cumsum(lengths))
+        self.begins = np.concatenate([[0], self.ends]).astype(np.int64)[:-1]
+        self.document = np.repeat(np.arange(len(texts)), self.ends - self.begins)
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return word_hashes(self.data, self.first, self.last)
 
 
 def list_column(rows: Iterable[np.ndarray], kind: pa.DataType) -> pa.ListArray:

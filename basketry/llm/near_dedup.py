@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import ascii_words, attach, columns, counted, list_column, mixed, small_batches, texts, word_hashes, written
+from basketry.llm.common import Words, attach, columns, counted, list_column, mixed, small_batches, texts, written
 from basketry.llm.components import components
 
 BANDS, ROWS = 24, 4
@@ -33,20 +33,29 @@ BITS = 1024  # of a bit signature: one of the least hash under each of so many p
 MORE_HUBS = 8  # times as many in each round
 # For every bin, the order in which it looks for a value when it has none.
 BORROWING = np.random.default_rng(0).permuted(np.tile(np.arange(BINS), (BINS, 1)), axis=1)
-FACTORS = np.random.default_rng(1).integers(0, 2**63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FACTORS = np.random.default_rng(1).integers(0, 2**31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def shingle_hashes(text: str, size: int) -> np.ndarray:
-    """The distinct runs of `size` words as sorted hashes; fewer words are one run, no words none."""
-    words = ascii_words(text)
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    hashes = mixed(word_hashes([words]))
-    size = min(size, len(words))
-    runs = np.full(len(words) - size + 1, size, dtype=np.uint64)
-    for i in range(size):
-        runs = runs * MULTIPLIER + hashes[i : len(hashes) - size + 1 + i]
-    return np.unique(mixed(runs))
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """Per text the distinct runs of `size` words as sorted hashes; fewer words are one run, no words none."""
+    words = Words(texts, lower=True)
+    hashes = mixed(words.hashes)
+
+    def runs(length: int) -> np.ndarray:
+        found = np.full(len(hashes), length, dtype=np.uint64)
+        for i in range(length):
+            till = max(len(hashes) - i, 0)
+            found[:till] = found[:till] * MULTIPLIER + hashes[i:]
+        return mixed(found)
+
+    by_length = {size: runs(size)}
+    sets = []
+    for begin, end in zip(words.begins, words.ends, strict=True):
+        length = min(size, end - begin)
+        if length not in by_length:
+            by_length[length] = runs(length)
+        sets.append(np.unique(by_length[length][begin : end - length + 1]) if length else np.zeros(0, dtype=np.uint64))
+    return sets
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -69,10 +78,12 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def bit_signature(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(hashes), 256):
-        np.minimum(least, (hashes[start : start + 256, None] * FACTORS).min(axis=0), out=least)
-    return np.packbits((least >> np.uint64(20) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    """One low bit of the least of the hashes under each permutation; 32 bits of a hash are enough to order them."""
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BITS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    for start in range(0, len(short), 64):
+        np.minimum(least, (short[start : start + 64, None] * FACTORS).min(axis=0), out=least)
+    return np.packbits((least >> np.uint32(4) & np.uint32(1)).astype(np.uint8)).view(np.int64)
 
 
 def most_differing(percent: int) -> int:
@@ -90,7 +101,7 @@ def sketches(documents: DataFrame, size: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1000):
-            sets = [shingle_hashes(text, size) for text in columns(batch, "text")[0]]
+            sets = shingle_sets(columns(batch, "text")[0], size)
             keys = [band_keys(signature(s)) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -111,7 +122,7 @@ def _sets(documents: DataFrame, holders: DataFrame, size: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1000):
-            sets = [shingle_hashes(text, size) for text in columns(batch, "text")[0]]
+            sets = shingle_sets(columns(batch, "text")[0], size)
             lists = [list_column((s.view(np.int64) for s in sets), pa.int64()), list_column(map(bit_signature, sets), pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *lists], ["node", "shingles", "bits"])
 

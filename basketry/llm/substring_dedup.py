@@ -12,14 +12,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import cached_property
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import attach, columns, mixed, small_batches, texts, word_hashes, written
+from basketry.llm.common import Words, attach, columns, mixed, small_batches, texts, written
 
 WINDOW = 35
 ROWS = 500  # documents hashed at a time
@@ -28,18 +28,11 @@ LANES = ("high", "low")
 PLACES = "doc_id long, print long, place int"
 
 
-class Words:
-    """The words of some documents, one after another: hashes, and where each document begins and ends."""
+class Windows(Words):
+    """The windows of words in some documents."""
 
     def __init__(self, batch: pa.RecordBatch):
-        self.lists = [text.encode("utf-8", "surrogatepass").split() for text in columns(batch, "text")[0]]
-        self.ends = np.cumsum([len(words) for words in self.lists])
-        self.begins = self.ends - np.array([len(words) for words in self.lists], dtype=np.int64)
-        self.document = np.repeat(np.arange(len(self.lists)), self.ends - self.begins)
-
-    @cached_property
-    def hashes(self) -> np.ndarray:
-        return word_hashes(self.lists)
+        super().__init__(columns(batch, "text")[0])
 
     def starts(self, length: int) -> np.ndarray:
         """Where a window of `length` words of one document can start."""
@@ -58,7 +51,7 @@ class Words:
         return mixed(found)
 
 
-def least_halves(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+def least_halves(words: Windows, window: int) -> tuple[np.ndarray, np.ndarray]:
     """The starts of windows, and for each the place of the first of its halves with the least hash, again by doubling."""
     least = words.windows(math.ceil(window / 2))
     place, done, span = np.arange(len(least)), 1, window // 2 + 1
@@ -72,7 +65,7 @@ def least_halves(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     return starts, place[starts]
 
 
-Chosen = Callable[[Words, pa.RecordBatch], tuple[np.ndarray, int]]
+Chosen = Callable[[Windows, pa.RecordBatch], tuple[np.ndarray, int]]
 
 
 def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
@@ -80,7 +73,7 @@ def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, ROWS):
-            words = Words(batch)
+            words = Windows(batch)
             at, length = chosen(words, batch)
             document = words.document[at]
             yield pa.RecordBatch.from_arrays(
@@ -104,7 +97,7 @@ def _repeated(places: DataFrame, name: str) -> DataFrame:
     return found
 
 
-def _listed(words: Words, batch: pa.RecordBatch, name: str) -> np.ndarray:
+def _listed(words: Windows, batch: pa.RecordBatch, name: str) -> np.ndarray:
     """Whether each place of the documents is in their list column `name`."""
     marked = np.zeros(len(words.document), dtype=bool)
     for begin, places in zip(words.begins, batch.column(name), strict=True):
@@ -117,10 +110,10 @@ def repeated_starts(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, print, text, starts): each row with the starts of its windows that occur anywhere else."""
     rows = texts(documents).withColumn("print", F.xxhash64("text"))
 
-    def halves(words: Words, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
+    def halves(words: Windows, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
         return np.unique(least_halves(words, window)[1]), math.ceil(window / 2)
 
-    def wholes(words: Words, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
+    def wholes(words: Windows, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
         starts, place = least_halves(words, window)
         return starts[_listed(words, batch, "halves")[place]], window
 
@@ -140,7 +133,7 @@ def longest_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     while not level.isEmpty():
         found.append(level.select("doc_id", "print", F.lit(length).alias("length"), "starts"))
 
-        def doubled(words: Words, batch: pa.RecordBatch, length: int = length) -> tuple[np.ndarray, int]:
+        def doubled(words: Windows, batch: pa.RecordBatch, length: int = length) -> tuple[np.ndarray, int]:
             marked, starts = _listed(words, batch, "starts"), words.starts(2 * length)
             return starts[marked[starts] & marked[starts + length]], 2 * length
 
@@ -166,17 +159,17 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, ROWS):
-            words = Words(batch)
+            words = Windows(batch)
             edges = np.zeros(len(words.document) + 1, dtype=np.int32)
             starts = np.flatnonzero(_listed(words, batch, "starts"))
             edges[starts] += 1
             edges[starts + window] -= 1
             stays = np.cumsum(edges)[:-1] == 0
             kept, removed = [], []
-            for own, begin, end in zip(words.lists, words.begins, words.ends, strict=True):
-                mask = stays[begin:end]
+            for text, begin, end in zip(columns(batch, "text")[0], words.begins, words.ends, strict=True):
+                own, mask = text.encode("utf-8", "surrogatepass").split(), stays[begin:end]
                 removed.append(int(len(own) - mask.sum()))
-                chosen = own if not removed[-1] else [own[i] for i in np.flatnonzero(mask)]
+                chosen = own if not removed[-1] else compress(own, mask.tolist())
                 kept.append(b" ".join(chosen).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
                 [
