@@ -1,33 +1,29 @@
 """Exact global ranks, tiles, quantiles and running totals that do not pass through one task.
 
-A window without PARTITION BY sends every row to a single task. Up to `SMALL_ROWS` counted rows that is the
-quickest plan and is used. Beyond it the rows are sorted once by range partitioning on the whole sort key,
-tie-break included, so that equal values spread over many tasks, and checkpointed with their place in their
-block. Only the counts per block are then summed in one task, and there are as many as shuffle partitions.
+Rows are sorted by range partitioning on the whole sort key, tie-break included, so that equal values spread over
+many tasks, and checkpointed with their place in their block. Only the counts per block are then summed in one task,
+and there are as many as shuffle partitions. The same plan serves every size. A caller who knows the table to be small
+may ask for `method="window"`: plain windows, which send all rows of a group, or of the table, to one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from basketry.session import materialise, small_side
 
-SMALL_ROWS = 1_000_000
-METHODS = ("auto", "window", "ranged")
+METHODS = ("ranged", "window")
 _IN_BLOCK = (1 << 33) - 1  # monotonically_increasing_id keeps the place within the partition in 33 bits
 
 
-def _settle(df: DataFrame, method: str, small_rows: int) -> tuple[DataFrame, bool]:
-    """The rows, and whether to use the single-window plan."""
+def _settle(df: DataFrame, method: str) -> tuple[DataFrame, bool]:
+    """The rows, checkpointed unless the caller asked for plain windows, and whether that is so."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    if method == "window":
-        return df, True
-    kept, rows = materialise(df)
-    return kept, method == "auto" and rows <= small_rows
+    return (df, True) if method == "window" else (materialise(df)[0], False)
 
 
 def _laid_out(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -85,14 +81,13 @@ def ntiles(
     key: str,
     scores: Mapping[str, tuple[str, bool]],
     tiles: int = 4,
-    method: str = "auto",
-    small_rows: int = SMALL_ROWS,
+    method: str = "ranged",
 ) -> DataFrame:
     """Add one NTILE column per entry of `scores`: name -> (numeric column, ascending).
 
     NULLs come last; `key`, unique per row, breaks ties in ascending order.
     """
-    df, small = _settle(df, method, small_rows)
+    df, small = _settle(df, method)
     tie = F.col(key).asc_nulls_last()
     if small:
         def over(column: str, ascending: bool) -> Column:
@@ -102,27 +97,25 @@ def ntiles(
 
         return df.withColumns({name: over(*how) for name, how in scores.items()})
 
-    values = [F.col(c) if ascending else -F.col(c) for c, ascending in scores.values()]
-    stacked = df.select(F.col(key).alias("_key"), F.posexplode(F.array(*values)).alias("_series", "_value"))
-    kind = stacked.schema["_value"].dataType
-    laid = _laid_out(stacked, [F.col("_series"), F.col("_value").asc_nulls_last(), F.col("_key").asc_nulls_last()])
-    ends = rows_at(laid, "_series", lambda n: tile_ends(n, tiles))
-    found = ends.select("_series", "_value", "_key").collect()  # at most (tiles - 1) rows per score
+    def past(column: str, ascending: bool, end: Row) -> Column:
+        """Whether a row comes after the row `end` in the order of its measure."""
+        value, last = F.col(column), F.lit(end["_value"]).cast(df.schema[column].dataType)
+        later = F.lit(False)
+        if end["_key"] is not None:
+            later = F.coalesce(F.col(key) > F.lit(end["_key"]).cast(df.schema[key].dataType), F.lit(True))
+        if end["_value"] is None:
+            return value.isNull() & later
+        beyond = value > last if ascending else value < last
+        return F.when(value.isNull() | beyond, True).when(value == last, later).otherwise(False)
 
-    def place(value: Column, key_value: Column) -> Column:
-        parts = (value.isNull(), value, key_value.isNull(), key_value)
-        return F.struct(*(p.alias(f"p{i}") for i, p in enumerate(parts)))
-
-    key_type = df.schema[key].dataType
     added = {}
-    for series, (name, value) in enumerate(zip(scores, values)):
-        here = place(value.cast(kind), F.col(key))
-        past = [
-            (here > place(F.lit(end["_value"]).cast(kind), F.lit(end["_key"]).cast(key_type))).cast("int")
-            for end in found
-            if end["_series"] == series
-        ]
-        added[name] = sum(past, F.lit(1))
+    for name, (column, ascending) in scores.items():  # each measure is sorted in its own type
+        value = F.col("_value")
+        first = value.asc_nulls_last() if ascending else value.desc_nulls_last()
+        rows = df.select(F.lit(0).alias("_all"), F.col(key).alias("_key"), F.col(column).alias("_value"))
+        laid = _laid_out(rows, [first, F.col("_key").asc_nulls_last()])
+        ends = rows_at(laid, "_all", lambda n: tile_ends(n, tiles)).collect()  # at most tiles - 1 rows
+        added[name] = sum((past(column, ascending, end).cast("int") for end in ends), F.lit(1))
     return df.withColumns(added)
 
 
@@ -131,12 +124,11 @@ def quantiles(
     group: str,
     value: str,
     points: Mapping[str, float],
-    method: str = "auto",
-    small_rows: int = SMALL_ROWS,
+    method: str = "ranged",
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation: one row per group, one column per point."""
     rows = df.select(F.col(group), F.col(value).cast("double").alias("_value")).where("_value IS NOT NULL")
-    rows, small = _settle(rows, method, small_rows)
+    rows, small = _settle(rows, method)
     if small:
         at = F.percentile("_value", F.array(*(F.lit(float(p)) for p in points.values())))
         found = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), at.alias("_q"))
@@ -161,7 +153,8 @@ def quantiles(
     def between(i: int, point: float) -> Column:
         spot = (F.col("rows") - 1) * F.lit(float(point))
         low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
-        return low + (high - low) * (spot - F.floor(spot))
+        mixed = low * (F.ceil(spot) - spot) + high * (spot - F.floor(spot))
+        return F.when(spot == F.floor(spot), low).otherwise(mixed)
 
     columns = [between(i, p).alias(name) for i, (name, p) in enumerate(points.items())]
     return counts.join(slots, F.col(group).eqNullSafe(F.col("_group"))).select(group, "rows", *columns)
@@ -173,14 +166,13 @@ def lowest_share(
     order: Sequence[str],
     share: tuple[int, int],
     name: str,
-    method: str = "auto",
-    small_rows: int = SMALL_ROWS,
+    method: str = "ranged",
 ) -> DataFrame:
     """Flag the lowest `share` = (part, whole) of every group by `order`, the count rounded half up.
 
     The columns of `order` must identify a row and hold no NULL.
     """
-    df, small = _settle(df, method, small_rows)
+    df, small = _settle(df, method)
     part, whole = share
 
     def size(n: Column) -> Column:
@@ -204,11 +196,10 @@ def running_totals(
     df: DataFrame,
     order: Sequence[Column],
     totals: Mapping[str, str],
-    method: str = "auto",
-    small_rows: int = SMALL_ROWS,
+    method: str = "ranged",
 ) -> DataFrame:
     """Add inclusive running sums over the whole table in a total order: new column -> summed column."""
-    df, small = _settle(df, method, small_rows)
+    df, small = _settle(df, method)
     if small:
         upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({name: F.sum(c).over(upto) for name, c in totals.items()})

@@ -32,7 +32,7 @@ def churn_features(
 
 
 def stratified_split(
-    features: DataFrame, test_share: tuple[int, int] = (1, 5), seed: int = 42, method: str = "auto"
+    features: DataFrame, test_share: tuple[int, int] = (1, 5), seed: int = 42, method: str = "ranged"
 ) -> DataFrame:
     """Flag the test rows: the same share of both classes, chosen by a hash of the customer."""
     draw = F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f":{seed}")))
@@ -53,7 +53,9 @@ def fit_forest(
     depth: int = 6,
     min_leaf: int = 5,
     seed: int = 42,
+    partitions: int = 32,
 ) -> RandomForestClassificationModel:
+    """The forest; name more `partitions` for larger tables, each is one task of every level of the trees."""
     forest = RandomForestClassifier(
         labelCol="churned",
         numTrees=trees,
@@ -62,9 +64,13 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    data = _assemble(train, columns).select("features", F.col("churned").cast("double").alias("churned"))
-    # Growing trees is work per row, not per byte: use every core, however few bytes the rows take.
-    data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).persist()
+    data = _assemble(train, columns).select(
+        "features", F.col("churned").cast("double").alias("churned"), F.col("customer_id").alias("_id")
+    )
+    # Bagging is drawn per partition, in order: rows are dealt and sorted by their own hash, so that the forest depends on
+    # the rows and `partitions` alone, not on the cores.
+    data = data.withColumn("_deal", F.xxhash64(*(F.col(c) for c in ("_id", "churned"))))
+    data = data.repartition(partitions, "_deal").sortWithinPartitions("_deal", "_id").drop("_deal", "_id").persist()
     try:
         # The copy leaves the training summary behind: it holds the session, which tasks cannot receive.
         return forest.fit(data).copy()
@@ -175,7 +181,7 @@ def _cumulated(scored: DataFrame, score: str, label: str, method: str) -> tuple[
 
 
 def roc_curve(
-    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "auto"
+    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "ranged"
 ) -> DataFrame:
     """False and true positive rate at every distinct score, after a starting point at (0, 0)."""
     upto, positives, negatives = _cumulated(scored, score, label, method)
@@ -191,7 +197,7 @@ def roc_curve(
 
 
 def roc_auc(
-    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "auto"
+    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "ranged"
 ) -> DataFrame:
     """Chance that a churned customer scores above an active one, ties counting half."""
     upto, positives, negatives = _cumulated(scored, score, label, method)

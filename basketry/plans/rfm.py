@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import rules
 from basketry.functions.exact import cents, from_cents
-from basketry.operators.ranking import SMALL_ROWS, ntiles
+from basketry.operators.ranking import ntiles
 
 MEASURES = ("recency_days", "frequency", "monetary")
 SCORES = ("r_score", "f_score", "m_score")
@@ -37,8 +37,7 @@ def rfm_base(orders: DataFrame, status: str = "completed") -> DataFrame:
 def rfm_score(
     base: DataFrame,
     recency_ascending: bool = False,
-    method: str = "auto",
-    small_rows: int = SMALL_ROWS,
+    method: str = "ranged",
     steps=rules.RFM_SEGMENTS,
     rest: str = rules.RFM_SEGMENT_BELOW,
 ) -> DataFrame:
@@ -48,7 +47,7 @@ def rfm_score(
     recency ascending; they differ when the row count is no multiple of four.
     """
     scores = {"r_score": ("recency_days", recency_ascending), "f_score": ("frequency", True), "m_score": ("monetary", True)}
-    scored = ntiles(base, "customer_id", scores, 4, method, small_rows)
+    scored = ntiles(base, "customer_id", scores, 4, method)
     if recency_ascending:
         scored = scored.withColumn("r_score", F.lit(5) - F.col("r_score"))
     summed = scored.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))

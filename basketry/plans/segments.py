@@ -49,8 +49,7 @@ def vectors(df: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFrame:
 
 
 def _fit(data: DataFrame, k: int, seed: int) -> KMeansModel:
-    # Stop once no centre moves by a hundredth of a standard deviation.
-    return KMeans(k=k, seed=seed, maxIter=300, tol=0.01).fit(data)
+    return KMeans(k=k, seed=seed, maxIter=300).fit(data)
 
 
 def best_kmeans(

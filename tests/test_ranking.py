@@ -52,15 +52,16 @@ def test_ranged_ntiles_equal_the_window_on_heavy_ties(spark):
     assert sizes == {1: 7500, 2: 7500, 3: 7500, 4: 7500}
 
 
-def test_auto_switches_on_the_counted_rows(spark):
-    frame = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
-    small = ntiles(frame, "k", {"t": ("v", True)}, small_rows=100)
-    large = ntiles(frame, "k", {"t": ("v", True)}, small_rows=99)
-    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" in text(small) and "Window" not in text(large)
-    assert small.exceptAll(large).isEmpty()
-    with pytest.raises(ValueError):
-        ntiles(frame, "k", {"t": ("v", True)}, method="fast")
+def test_one_plan_ranks_each_measure_in_its_own_type(spark):
+    big = F.lit(2**60) + F.col("id") % 500  # doubles cannot tell these apart
+    frame = spark.range(1000).select(F.col("id").alias("k"), big.alias("v"), (F.col("id") % 7 / 3.0).alias("w"))
+    scores = {"a": ("v", True), "b": ("v", False), "c": ("w", False)}
+    ranged, window = ntiles(frame, "k", scores), ntiles(frame, "k", scores, method="window")
+    assert "Window" not in ranged._jdf.queryExecution().optimizedPlan().toString()
+    assert ranged.exceptAll(window).isEmpty() and ranged.count() == 1000
+    for method in ("fast", "auto"):
+        with pytest.raises(ValueError):
+            ntiles(frame, "k", scores, method=method)
 
 
 @pytest.mark.parametrize("method", METHODS)
