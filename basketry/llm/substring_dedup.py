@@ -5,7 +5,8 @@ each sought window: equal windows have equal least parts, so nothing is missed w
 Only windows around a repeated half go on to the full length, and on request from there to twice that length and so on,
 until none survives. At each level the hashes are counted with partial sums and joined back to their places; a passage
 that a third of all documents share is many keys of moderate size, which the join splits. Text is shuffled once and
-that exchange serves all levels.
+that exchange serves both sides of the second level. Where texts are equal as a whole, all their windows are repeated:
+one of them is counted for the others' sake, and none of their windows is joined back.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Words, attach, columns, mixed, small_batches, texts, written
+from basketry.llm.common import Words, attach, columns, list_column, mixed, small_batches, texts, written
 
 WINDOW = 35
 ROWS = 500  # documents hashed at a time
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # of the two halves of a window's hash
 LANES = ("high", "low")
 PLACES = "doc_id long, print long, place int"
+FIRST, AGAIN = "first", "again"  # roles of rows whose text other rows hold too: the one that is counted, and the rest
 
 
 class Windows(Words):
@@ -89,12 +91,20 @@ def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
     return rows.mapInArrow(emit, ", ".join([PLACES, *(f"{name} long" for name in LANES[:lanes])]))
 
 
-def _repeated(places: DataFrame, name: str) -> DataFrame:
-    """(doc_id, print, places): those whose window occurs more than once."""
-    lanes = [name for name in LANES if name in places.columns]
-    often = places.groupBy(*lanes).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*lanes)
-    found = places.join(often, lanes).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
-    return found
+def _repeated(places: DataFrame, name: str, among: DataFrame | None = None) -> DataFrame:
+    """(doc_id, print, places): those whose window occurs more than once in `among`, or else in `places` themselves."""
+    lanes = [lane for lane in LANES if lane in places.columns]
+    counts = (places if among is None else among).groupBy(*lanes).agg(F.count(F.lit(1)).alias("n"))
+    often = counts.where(F.col("n") > 1).select(*lanes)
+    return places.join(often, lanes).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
+
+
+def _roles(rows: DataFrame) -> DataFrame:
+    """(doc_id, print, role) of the rows whose text another row holds too; texts are told apart by 128 bits."""
+    prints = rows.select("doc_id", "print", F.xxhash64("text", F.lit(1)).alias("other"))
+    held = prints.groupBy("print", "other").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where(F.col("n") > 1)
+    role = F.when(F.col("doc_id").eqNullSafe(F.col("least")), FIRST).otherwise(AGAIN)
+    return prints.join(held, ["print", "other"]).groupBy("doc_id", "print").agg(F.max(role).alias("role"))
 
 
 def _listed(words: Windows, batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -106,20 +116,35 @@ def _listed(words: Windows, batch: pa.RecordBatch, name: str) -> np.ndarray:
     return marked
 
 
+def _whole(words: Windows, batch: pa.RecordBatch) -> np.ndarray:
+    """Whether each place of the documents lies in a text that another row holds too."""
+    return np.asarray(batch.column("role").is_valid())[words.document]
+
+
 def repeated_starts(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, print, text, starts): each row with the starts of its windows that occur anywhere else."""
+    """(doc_id, print, text, role, starts): each row with the starts of its windows that occur anywhere else.
+
+    Rows with a role have a text that another row holds too; all their windows are repeated and `starts` is null.
+    """
     rows = texts(documents).withColumn("print", F.xxhash64("text"))
 
     def halves(words: Windows, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
-        return np.unique(least_halves(words, window)[1]), math.ceil(window / 2)
+        place = least_halves(words, window)[1]  # rises with the start
+        return place[np.flatnonzero(np.diff(place, prepend=-1))], math.ceil(window / 2)
 
     def wholes(words: Windows, batch: pa.RecordBatch) -> tuple[np.ndarray, int]:
         starts, place = least_halves(words, window)
-        return starts[_listed(words, batch, "halves")[place]], window
+        return starts[(_listed(words, batch, "halves") | _whole(words, batch))[place]], window
 
-    met = attach(rows, written(_repeated(_places(rows, halves, lanes=1), "halves"), "repeated-halves"), "doc_id", "print")
+    half = written(_places(rows, halves, lanes=1), "halves")
+    found = attach(_repeated(half, "halves"), _roles(rows), "doc_id", "print")
+    # Rows with a role keep none of their places: the role says that all of them are repeated.
+    found = found.withColumn("halves", F.when(F.col("role").isNull(), F.col("halves")).otherwise(F.array().cast("array<int>")))
+    met = attach(rows, written(found, "repeated-halves"), "doc_id", "print")
     some = met.where(F.col("halves").isNotNull())
-    return attach(met, _repeated(_places(some, wholes), "starts"), "doc_id", "print").select("doc_id", "print", "text", "starts")
+    own = _places(some.where(F.col("role").isNull()), wholes)
+    among = _places(some.where(F.col("role").isNull() | (F.col("role") == FIRST)), wholes)
+    return attach(met, _repeated(own, "starts", among), "doc_id", "print").select("doc_id", "print", "text", "role", "starts")
 
 
 def longest_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -129,7 +154,18 @@ def longest_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     rows = texts(documents).withColumn("print", F.xxhash64("text"))
     found, length = [], window
-    level = written(repeated_starts(documents, window).where(F.col("starts").isNotNull()).select("doc_id", "print", "starts").distinct(), "repeats")
+
+    def all_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, ROWS):
+            words = Windows(batch)
+            marked = _listed(words, batch, "starts")
+            whole = words.starts(window)
+            marked[whole] |= _whole(words, batch)[whole]
+            lists = list_column((np.flatnonzero(marked[a:b]) for a, b in zip(words.begins, words.ends, strict=True)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("print"), lists], ["doc_id", "print", "starts"])
+
+    level = repeated_starts(documents, window).mapInArrow(all_starts, "doc_id long, print long, starts array<int>")
+    level = written(level.where(F.size("starts") > 0).distinct(), "repeats")
     while not level.isEmpty():
         found.append(level.select("doc_id", "print", F.lit(length).alias("length"), "starts"))
 
@@ -164,7 +200,8 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             starts = np.flatnonzero(_listed(words, batch, "starts"))
             edges[starts] += 1
             edges[starts + window] -= 1
-            stays = np.cumsum(edges)[:-1] == 0
+            long = words.ends - words.begins >= window
+            stays = (np.cumsum(edges)[:-1] == 0) & ~(_whole(words, batch) & long[words.document])
             kept, removed = [], []
             for text, begin, end in zip(columns(batch, "text")[0], words.begins, words.ends, strict=True):
                 own, mask = text.encode("utf-8", "surrogatepass").split(), stays[begin:end]
