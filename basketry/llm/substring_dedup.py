@@ -92,10 +92,14 @@ def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
 
 
 def _repeated(places: DataFrame, name: str, among: DataFrame | None = None) -> DataFrame:
-    """(doc_id, print, places): those whose window occurs more than once in `among`, or else in `places` themselves."""
+    """(doc_id, print, places): those whose window occurs more than once in `among`, or else in `places` themselves.
+
+    The repeated hashes are dealt out anew after their count, as a join only splits a hot key where both its sides come
+    straight from a shuffle of its own.
+    """
     lanes = [lane for lane in LANES if lane in places.columns]
     counts = (places if among is None else among).groupBy(*lanes).agg(F.count(F.lit(1)).alias("n"))
-    often = counts.where(F.col("n") > 1).select(*lanes)
+    often = counts.where(F.col("n") > 1).select(*lanes).repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return places.join(often, lanes).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
 
 
