@@ -91,15 +91,16 @@ def _places(rows: DataFrame, chosen: Chosen, lanes: int = 2) -> DataFrame:
     return rows.mapInArrow(emit, ", ".join([PLACES, *(f"{name} long" for name in LANES[:lanes])]))
 
 
-def _repeated(places: DataFrame, name: str, among: DataFrame | None = None) -> DataFrame:
-    """(doc_id, print, places): those whose window occurs more than once in `among`, or else in `places` themselves.
+def _dealt_anew(counts: DataFrame) -> DataFrame:
+    """The same rows after a shuffle of their own: a join splits a hot key only where both sides come straight from one."""
+    return counts.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    The repeated hashes are dealt out anew after their count, as a join only splits a hot key where both its sides come
-    straight from a shuffle of its own.
-    """
+
+def _repeated(places: DataFrame, name: str, among: DataFrame | None = None) -> DataFrame:
+    """(doc_id, print, places): those whose window occurs more than once in `among`, or else in `places` themselves."""
     lanes = [lane for lane in LANES if lane in places.columns]
     counts = (places if among is None else among).groupBy(*lanes).agg(F.count(F.lit(1)).alias("n"))
-    often = counts.where(F.col("n") > 1).select(*lanes).repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    often = _dealt_anew(counts.where(F.col("n") > 1).select(*lanes))
     return places.join(often, lanes).groupBy("doc_id", "print").agg(F.collect_set("place").alias(name))
 
 
@@ -108,7 +109,7 @@ def _roles(rows: DataFrame) -> DataFrame:
     prints = rows.select("doc_id", "print", F.xxhash64("text", F.lit(1)).alias("other"))
     held = prints.groupBy("print", "other").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where(F.col("n") > 1)
     role = F.when(F.col("doc_id").eqNullSafe(F.col("least")), FIRST).otherwise(AGAIN)
-    return prints.join(held, ["print", "other"]).groupBy("doc_id", "print").agg(F.max(role).alias("role"))
+    return prints.join(_dealt_anew(held), ["print", "other"]).groupBy("doc_id", "print").agg(F.max(role).alias("role"))
 
 
 def _listed(words: Windows, batch: pa.RecordBatch, name: str) -> np.ndarray:
