@@ -97,6 +97,22 @@ def test_substrings(docs, none):
     assert substring_dedup.dedup_substrings(none).count() == 0
 
 
+def test_substrings_among_equal_texts(spark):
+    """Equal texts, one of them without an id, others that share part of them, and short ones, against a plain count."""
+    copied, other = f"start {PASSAGE} end", " ".join(f"q{i % 23}" for i in range(90))
+    held = [copied, copied, copied, f"x y {PASSAGE} z", other, "short text", "short text", f"{PASSAGE[:60]} cut", copied, PASSAGE]
+    ids = [1, 2, None, 4, 5, 6, 7, 8, 1, 10]
+    seen = {}
+    for at, text in enumerate(held):
+        words = text.split()
+        for i in range(len(words) - 34):
+            seen.setdefault(tuple(words[i : i + 35]), []).append((at, i))
+    gone = {(at, i + k) for places in seen.values() if len(places) > 1 for at, i in places for k in range(35)}
+    want = [(ids[at], len(t.split()), " ".join(w for k, w in enumerate(t.split()) if (at, k) not in gone)) for at, t in enumerate(held)]
+    found = substring_dedup.dedup_substrings(spark.createDataFrame(list(zip(ids, held, strict=True)), "doc_id long, text string"))
+    assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["n_words"], r["kept"])) for r in found.collect())
+
+
 def test_topk_is_exact_with_ties_and_odd_rows(spark):
     draw = np.random.default_rng(0)
     vectors = [(i, draw.normal(size=40).tolist()) for i in range(300)] + [(300, [0.5] * 40), (301, [0.5] * 40), (302, [0.5] * 40)]
