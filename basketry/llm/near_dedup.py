@@ -5,13 +5,12 @@ empty bin borrows from the first non-empty one in an order of its own (optimal d
 are one node. Nodes with an equal band of the signature share a bucket, and a bucket's hub, its most central node, is
 paired with the others: as many pairs as members. Pairs are confirmed on full sets. A bucket whose nodes are not all
 linked by then goes another round with more hubs, until every two nodes of a bucket that could still join two groups have
-been compared. Before a pair becomes a row its bit signatures, made from full sets as well, must not differ by more than
-4.5 standard deviations over what a similarity at the threshold gives.
+been compared. Before a pair becomes a row its parity bits, made from full sets as well, give a lower bound on the number of
+shingles that only one of the two has; a pair is left out only if that bound alone puts it below the threshold.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b
@@ -29,11 +28,10 @@ BINS = BANDS * ROWS
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id long, print long, n_shingles long, node binary, bands array<long>"
 SETS = "node binary, shingles array<long>, bits array<long>"
-BITS = 1024  # of a bit signature: one of the least hash under each of so many permutations
+BITS = 1024  # the parity of the number of a set's hashes in each of so many ranges
 MORE_HUBS = 8  # times as many in each round
 # For every bin, the order in which it looks for a value when it has none.
 BORROWING = np.random.default_rng(0).permuted(np.tile(np.arange(BINS), (BINS, 1)), axis=1)
-FACTORS = np.random.default_rng(1).integers(0, 2**31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -77,19 +75,11 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def bit_signature(hashes: np.ndarray) -> np.ndarray:
-    """One low bit of the least of the hashes under each permutation; 32 bits of a hash are enough to order them."""
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(BITS, np.iinfo(np.uint32).max, dtype=np.uint32)
-    for start in range(0, len(short), 64):
-        np.minimum(least, (short[start : start + 64, None] * FACTORS).min(axis=0), out=least)
-    return np.packbits((least >> np.uint32(4) & np.uint32(1)).astype(np.uint8)).view(np.int64)
-
-
-def most_differing(percent: int) -> int:
-    """Differing bits that a pair at the threshold exceeds about three times in a million."""
-    differs = (1 - percent / 100) / 2
-    return math.ceil(BITS * differs + 4.5 * math.sqrt(BITS * differs * (1 - differs)))
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether each range holds an odd number of the hashes. Every bit in which two sets differ stands for at least one hash
+    of its own that only one of them has."""
+    counts = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
 def _node(hashes: np.ndarray) -> bytes:
@@ -123,7 +113,7 @@ def _sets(documents: DataFrame, holders: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1000):
             sets = shingle_sets(columns(batch, "text")[0], size)
-            lists = [list_column((s.view(np.int64) for s in sets), pa.int64()), list_column(map(bit_signature, sets), pa.int64())]
+            lists = [list_column((s.view(np.int64) for s in sets), pa.int64()), list_column(map(parities, sets), pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *lists], ["node", "shingles", "bits"])
 
     rows = texts(documents).withColumn("print", F.xxhash64("text"))
@@ -148,7 +138,8 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     order = Window.partitionBy("key").orderBy(F.desc("weight"), "node")
     differing = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("hub_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     ahead = (F.col("hub_weight") > F.col("weight")) | ((F.col("hub_weight") == F.col("weight")) & (F.col("hub") < F.col("node")))
-    alike = (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & (differing <= most_differing(percent))
+    # Sets that share `percent` of their union have (100 - percent) of each (100 + percent) of their sizes' sum in one alone.
+    alike = (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & ((100 + percent) * differing <= (100 - percent) * (F.col("n") + F.col("hub_n")))
     waiting, hubs_each = members.withColumn("root", F.col("node")), 1
     links, tested, roots, rows = [], None, None, 1
     while rows:
