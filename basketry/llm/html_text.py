@@ -1,8 +1,9 @@
 """The main text of HTML pages: parser events, text-to-tag ratios, Gaussian smoothing and threshold clusters.
 
 The standard library's parser streams events; block elements cut the page into lines, each with its text, its tags, the
-part of it inside links, and the elements it lies in. Lines in menus, forms, notices and the like never count. The
-text-to-tag ratio of every line is smoothed along the page; lines above a threshold form the clusters that hold the
+part of it inside links, and the elements it lies in. Text in menus, forms and the like never counts. An element whose class
+or id only names a surrounding is a mark on its text: the text counts if the element holds most of the page's dense text or
+its only article. The text-to-tag ratio of every line is smoothed along the page; lines above a threshold form the clusters that hold the
 article. The element that holds most of their text is its region, and all of that region's blocks are the result.
 """
 
@@ -25,6 +26,7 @@ SMOOTHING = 1.5  # standard deviation of the smoothing, in lines
 THRESHOLD = 0.5  # of the mean smoothed ratio
 LINKED = 0.6  # a line with a larger part of its text inside links is a list of links
 HELD = 0.8  # part of the clusters' text that their region holds
+MOST = 0.5  # an element with a larger part of the page's dense text is no surrounding, whatever its name
 
 # HTML's elements by kind, and the words by which pages name what surrounds an article.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -60,26 +62,30 @@ class Line:
     __slots__ = ("inside", "linked", "parts", "tags", "text")
 
     def __init__(self, inside: tuple[int, ...]):
-        self.parts, self.tags, self.linked, self.inside, self.text = [], 0, 0, inside, ""
+        self.parts: list[tuple[str, tuple[int, ...], int]] = []  # text, the marks on it, how much of it is inside links
+        self.tags, self.linked, self.inside, self.text = 0, 0, inside, ""
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of one page; `regions` gives the element name of each region."""
+    """Collects the lines of one page; `regions` gives the element name of each region, `marks` whether a mark is one of
+    comments, and `homes` the marks around each article or main element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # element, its region or 0, whether it silences
+        self.open: list[tuple[str, int, bool, int]] = []  # element, its region or 0, whether it silences, its mark or 0
         self.regions: dict[int, str] = {}
         self.lines: list[Line] = []
         self.line = Line(())
         self.inside: tuple[int, ...] = ()
+        self.marked: tuple[int, ...] = ()
+        self.marks: dict[int, bool] = {}
+        self.homes: dict[int, tuple[int, ...]] = {}
         self.silent = self.links = self.articles = self.paragraphs = self.made = 0
 
     def _next_line(self) -> None:
         line = self.line
         if line.parts:
-            line.text = " ".join("".join(line.parts).split())
-            if line.text:
+            if any(text.strip() for text, _, _ in line.parts):
                 self.lines.append(line)
                 self.line = Line(self.inside)
                 return
@@ -94,14 +100,23 @@ class PageLines(HTMLParser):
         given = {name: (value or "").lower() for name, value in attrs}
         if "hidden" in given or given.get("aria-hidden") == "true" or HIDDEN.search(given.get("style", "")):
             return True
+        return tag not in ("article", "main") and given.get("role") in ROLES
+
+    @staticmethod
+    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+        """The words of a class or id that name a surrounding."""
+        given = {name: (value or "").lower() for name, value in attrs}
         names = set(NAMES.findall(f"{given.get('class', '')} {given.get('id', '')}"))
-        if tag in ("article", "main") or given.get("role") in ("main", "article"):
-            return bool(names & COMMENTS)
-        return given.get("role") in ROLES or bool(names & SURROUNDINGS)
+        if tag in ("html", "body"):
+            return set()
+        article = tag in ("article", "main") or given.get("role") in ("main", "article")
+        return names & (COMMENTS if article else SURROUNDINGS)
 
     def _pop(self, depth: int) -> None:
-        for tag, region, silences in self.open[depth:]:
+        for tag, region, silences, mark in self.open[depth:]:
             self.silent -= silences
+            if mark:
+                self.marked = self.marked[:-1]
             self.links -= tag == "a"
             self.paragraphs -= tag == "p"
             self.articles -= tag in ("article", "main")
@@ -129,18 +144,25 @@ class PageLines(HTMLParser):
         if block:
             self._next_line()
         elif tag in CELLS:
-            self.line.parts.append(" ")
+            self.line.parts.append((" ", self.marked, 0))
         self.line.tags += 1
         if tag in VOID:
             return
         silences = bool(attrs or tag in SILENT or tag == "header") and self._surrounds(tag, attrs)
-        region = 0
+        named = self._named(tag, attrs) if attrs and not silences else None
+        mark = region = 0
+        if named:
+            mark = len(self.marks) + 1
+            self.marks[mark] = bool(named & COMMENTS)
+            self.marked = (*self.marked, mark)
         if tag in REGIONS:
             self.made += 1
             region = self.made
             self.regions[region] = "main" if ("role", "main") in attrs or ("role", "article") in attrs else tag
             self.inside = (*self.inside, region)
-        self.open.append((tag, region, silences))
+            if self.regions[region] in ("article", "main"):
+                self.homes[region] = self.marked
+        self.open.append((tag, region, silences, mark))
         self.silent += silences
         self.links += tag == "a"
         self.paragraphs += tag == "p"
@@ -159,7 +181,7 @@ class PageLines(HTMLParser):
                 break
         else:
             return
-        if tag in BLOCKS or any(t in BLOCKS for t, _, _ in self.open[depth:]):
+        if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[depth:]):
             self._next_line()
         self.line.tags += 1
         self._pop(depth)
@@ -167,9 +189,7 @@ class PageLines(HTMLParser):
 
     def handle_data(self, data):
         if not self.silent:
-            self.line.parts.append(data)
-            if self.links:
-                self.line.linked += len(data.strip())
+            self.line.parts.append((data, self.marked, len(data.strip()) if self.links else 0))
 
     def updatepos(self, i, j):
         return j  # no one asks for line numbers
@@ -188,17 +208,68 @@ def smoothed(ratios: np.ndarray, deviation: float) -> np.ndarray:
     return np.convolve(ratios, kernel)[cut] / np.convolve(np.ones(len(ratios)), kernel)[cut]
 
 
+def readable(lines: list[Line], without: set[int]) -> list[Line]:
+    """The lines that have text beside that of the marks `without`; the tags of the others count for the next one."""
+    found, tags = [], 0
+    for line in lines:
+        tags += line.tags
+        parts = [p for p in line.parts if not without.intersection(p[1])] if without else line.parts
+        text = " ".join("".join(p[0] for p in parts).split())
+        if text:
+            one = Line(line.inside)
+            one.parts, one.text, one.tags, one.linked = parts, text, tags, sum(p[2] for p in parts)
+            found.append(one)
+            tags = 0
+    return found
+
+
+def clusters(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The size of each line, the part of it inside links, and whether it lies in a dense cluster."""
+    size = np.array([len(line.text) for line in lines], dtype=float)
+    linked = np.array([min(1.0, line.linked / len(line.text)) for line in lines])
+    ratio = size * (1 - linked) / np.array([max(line.tags, 1) for line in lines])
+    smooth = smoothed(ratio, SMOOTHING)
+    return size, linked, (smooth >= THRESHOLD * smooth.mean()) & (linked <= LINKED)
+
+
+def surroundings(page: PageLines, lines: list[Line]) -> set[int]:
+    """The marks whose text does not count. An element that holds most of the dense text is none of them, nor is one that
+    holds the only articles and more of that text than lies outside all marks or in any other mark. Comments follow what they are about: an
+    element named so is released if no article lies outside all marks and it holds the first dense text and most of it."""
+    size, _, dense = clusters(lines)
+    weights: list[tuple[frozenset[int], float]] = []
+    articles: set[int] = set()
+    for line, weight in zip(lines, np.where(dense, size, 0), strict=True):
+        if weight:
+            articles.update(r for r in line.inside if r in page.homes)
+            lengths = [len(text.strip()) for text, _, _ in line.parts]
+            weights += [(frozenset(p[1]), weight * n / sum(lengths)) for p, n in zip(line.parts, lengths, strict=True) if n]
+    free = any(not page.homes[r] for r in articles)
+
+    def held(mark: int, without: int = 0) -> float:
+        return sum(w for marks, w in weights if mark in marks and without not in marks)
+
+    total = sum(w for _, w in weights)
+    comments = {m for m, named in page.marks.items() if named}
+    if not free and weights:
+        comments = {m for m in comments if m not in weights[0][0] or held(m) <= MOST * total}
+    weights = [(marks, w) for marks, w in weights if not marks & comments]
+    total, bare = sum(w for _, w in weights), sum(w for marks, w in weights if not marks)
+    around = set() if free else {m for r in articles for m in page.homes[r]}
+    named = page.marks.keys() - comments
+    least = {m: max([bare, *(held(other, m) for other in named)]) if m in around else MOST * total for m in named}
+    return comments | {m for m in named if held(m) <= least[m]}
+
+
 def main_blocks(html: str | None) -> list[str]:
     page = PageLines()
     page.feed(html or "")
-    lines = page.finish()
+    lines = readable(page.finish(), set())
+    if lines and page.marks:
+        lines = readable(page.lines, surroundings(page, lines))
     if not lines:
         return []
-    size = np.array([len(line.text) for line in lines], dtype=float)
-    linked = np.array([min(1.0, line.linked / len(line.text)) for line in lines])
-    ratio = size * (1 - linked) / np.array([max(line.tags, 1) for line in lines])
-    smooth = smoothed(ratio, SMOOTHING)
-    dense = (smooth >= THRESHOLD * smooth.mean()) & (linked <= LINKED)
+    size, linked, dense = clusters(lines)
     held: Counter[int] = Counter()
     for line, weight in zip(lines, np.where(dense, size, 0), strict=True):
         for region in set(line.inside):
