@@ -223,20 +223,20 @@ def readable(lines: list[Line], without: set[int]) -> list[Line]:
     return found
 
 
-def clusters(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The size of each line, the part of it inside links, and whether it lies in a dense cluster."""
+def clusters(lines: list[Line]) -> tuple[np.ndarray, np.ndarray]:
+    """The size of each line and whether it lies in a dense cluster."""
     size = np.array([len(line.text) for line in lines], dtype=float)
     linked = np.array([min(1.0, line.linked / len(line.text)) for line in lines])
     ratio = size * (1 - linked) / np.array([max(line.tags, 1) for line in lines])
     smooth = smoothed(ratio, SMOOTHING)
-    return size, linked, (smooth >= THRESHOLD * smooth.mean()) & (linked <= LINKED)
+    return size, (smooth >= THRESHOLD * smooth.mean()) & (linked <= LINKED)
 
 
 def surroundings(page: PageLines, lines: list[Line]) -> set[int]:
     """The marks whose text does not count. An element that holds most of the dense text is none of them, nor is one that
     holds the only articles and more of that text than lies outside all marks or in any other mark. Comments follow what they are about: an
     element named so is released if no article lies outside all marks and it holds the first dense text and most of it."""
-    size, _, dense = clusters(lines)
+    size, dense = clusters(lines)
     weights: list[tuple[frozenset[int], float]] = []
     articles: set[int] = set()
     for line, weight in zip(lines, np.where(dense, size, 0), strict=True):
@@ -269,7 +269,7 @@ def main_blocks(html: str | None) -> list[str]:
         lines = readable(page.lines, surroundings(page, lines))
     if not lines:
         return []
-    size, linked, dense = clusters(lines)
+    size, dense = clusters(lines)
     held: Counter[int] = Counter()
     for line, weight in zip(lines, np.where(dense, size, 0), strict=True):
         for region in set(line.inside):
@@ -281,11 +281,9 @@ def main_blocks(html: str | None) -> list[str]:
         return [line.text for line in lines if chosen in line.inside]
     total = size[dense].sum()
     around = [region for region, weight in held.items() if weight >= HELD * total]
-    inside = np.array([not around or max(around) in line.inside for line in lines])
-    found = np.flatnonzero(dense & inside)
-    if not len(found):
+    if not total:
         return []
-    return [lines[i].text for i in range(found[0], found[-1] + 1) if inside[i] and linked[i] <= LINKED]
+    return [line.text for line in lines if not around or max(around) in line.inside]
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

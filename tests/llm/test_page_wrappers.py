@@ -27,3 +27,12 @@ def test_named_surroundings_still_go():
 
 def test_a_wrapper_named_after_comments_keeps_its_text():
     assert html_text.main_blocks(f"<body><div class='post comment-closed'>{BODY}</div>{ASIDE}</body>") == BLOCKS
+
+
+def test_short_blocks_and_links_of_the_region_stay():
+    short = "".join(f"<li>item {i} end</li>" for i in range(8))
+    items, long = [f"item {i} end" for i in range(8)], [f"{i} {TEXT} {TEXT} {TEXT}" for i in range(10)]
+    paragraphs = "".join(f"<p>{p}</p>" for p in long)
+    linked = f"<p><a href=/x>{TEXT}</a></p>"
+    found = html_text.main_blocks(f"<body>{ASIDE}<div><ul>{short}</ul>{paragraphs}{linked}<p>{TEXT}</p><ul>{short}</ul></div></body>")
+    assert found == [*items, *long, TEXT, TEXT, *items]
