@@ -4,7 +4,8 @@ The standard library's parser streams events; block elements cut the page into l
 part of it inside links, and the elements it lies in. Text in menus, forms and the like never counts. An element whose class
 or id only names a surrounding is a mark on its text: the text counts if the element holds most of the page's dense text or
 its only article. The text-to-tag ratio of every line is smoothed along the page; lines above a threshold form the clusters that hold the
-article. The element that holds most of their text is its region, and all of that region's blocks are the result.
+article. If most of their text lies in article elements, all articles with such text are the region, or else main elements
+in the same way; if in neither, the innermost element that holds nearly all of it. All blocks of the region are the result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ SMOOTHING = 1.5  # standard deviation of the smoothing, in lines
 THRESHOLD = 0.5  # of the mean smoothed ratio
 LINKED = 0.6  # a line with a larger part of its text inside links is a list of links
 HELD = 0.8  # part of the clusters' text that their region holds
-MOST = 0.5  # an element with a larger part of the page's dense text is no surrounding, whatever its name
+MOST = 0.5  # an element with a larger part of the page's dense text is no surrounding; articles with it are the region
 
 # HTML's elements by kind, and the words by which pages name what surrounds an article.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -235,7 +236,8 @@ def clusters(lines: list[Line]) -> tuple[np.ndarray, np.ndarray]:
 def surroundings(page: PageLines, lines: list[Line]) -> set[int]:
     """The marks whose text does not count. An element that holds most of the dense text is none of them, nor is one that
     holds the only articles and more of that text than lies outside all marks or in any other mark. Comments follow what they are about: an
-    element named so is released if no article lies outside all marks and it holds the first dense text and most of it."""
+    element named so is released if no article lies outside all marks and it holds the first dense text and most of it.
+    Beside an article outside all marks, an element needs as many dense lines, and outside of that nearly all dense text."""
     size, dense = clusters(lines)
     weights: list[tuple[frozenset[int], float]] = []
     articles: set[int] = set()
@@ -258,6 +260,16 @@ def surroundings(page: PageLines, lines: list[Line]) -> set[int]:
     around = set() if free else {m for r in articles for m in page.homes[r]}
     named = page.marks.keys() - comments
     least = {m: max([bare, *(held(other, m) for other in named)]) if m in around else MOST * total for m in named}
+    if free:
+        own = [{m for _, marks, _ in line.parts for m in marks} for line in lines]
+        of_article = [any(r in page.homes and not page.homes[r] for r in line.inside) for line in lines]
+        for m in named:
+            mine = [i for i in np.flatnonzero(dense) if m in own[i]]
+            others = sum(of_article[i] and m not in own[i] for i in np.flatnonzero(dense))
+            if len(mine) < others:
+                least[m] = total
+            elif not all(of_article[i] for i in mine):
+                least[m] = HELD * total
     return comments | {m for m in named if held(m) <= least[m]}
 
 
@@ -274,15 +286,15 @@ def main_blocks(html: str | None) -> list[str]:
     for line, weight in zip(lines, np.where(dense, size, 0), strict=True):
         for region in set(line.inside):
             held[region] += weight
-    named = [(held[r], -r) for r, tag in page.regions.items() if tag == "article" and held[r] > 0]
-    named = named or [(held[r], -r) for r, tag in page.regions.items() if tag == "main" and held[r] > 0]
-    if named:
-        chosen = -max(named)[1]
-        return [line.text for line in lines if chosen in line.inside]
     total = size[dense].sum()
-    around = [region for region, weight in held.items() if weight >= HELD * total]
     if not total:
         return []
+    for tag in ("article", "main"):
+        chosen = {region for region, name in page.regions.items() if name == tag and held[region] > 0}
+        kept = [i for i, line in enumerate(lines) if chosen.intersection(line.inside)]
+        if chosen and size[kept][dense[kept]].sum() >= MOST * total:
+            return [lines[i].text for i in kept]
+    around = [region for region, weight in held.items() if weight >= HELD * total]
     return [line.text for line in lines if not around or max(around) in line.inside]
 
 

@@ -36,3 +36,10 @@ def test_short_blocks_and_links_of_the_region_stay():
     linked = f"<p><a href=/x>{TEXT}</a></p>"
     found = html_text.main_blocks(f"<body>{ASIDE}<div><ul>{short}</ul>{paragraphs}{linked}<p>{TEXT}</p><ul>{short}</ul></div></body>")
     assert found == [*items, *long, TEXT, TEXT, *items]
+
+
+def test_clusters_choose_among_articles():
+    parts = f"<article>{BODY}</article><div class=ad><p>{TEXT}</p></div><article><h2>Part two</h2><p>{TEXT}</p></article>"
+    assert html_text.main_blocks(f"<body><div>{parts}</div></body>") == [*BLOCKS, "Part two", TEXT]
+    teaser = "<article><p>Short teaser of another page.</p></article>"
+    assert html_text.main_blocks(f"<body><div>{BODY}</div>{teaser}</body>") == BLOCKS
