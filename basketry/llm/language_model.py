@@ -1,15 +1,18 @@
 """Scores of texts under a hierarchical Pitman-Yor language model.
 
-Every context has a restaurant: one for each of the most frequent training words as the word before, one for the begin of a
-text, one that all other words share. The restaurants share one parent, whose base is uniform over the vocabulary and one
-unknown word. Each Gibbs sweep takes all customers of a (context, word) out and seats them anew, one after another, given
-the table totals of the sweep before; a word's tables are its customers in the parent. Given those totals words are
-independent, so a sweep is a map over word counts whose only result is one total for each restaurant, and random numbers
-hash from word, context and customer, so any task draws the same again. The last sweeps' predictive probabilities are
-averaged.
+Every training word that precedes another has a restaurant, and so has the begin of a text. The restaurants share one parent,
+whose base is uniform over the vocabulary and one unknown word. Each Gibbs sweep takes all customers of a (context, word) out
+and seats them anew, one after another, given the table totals of the sweep before; a word's tables are its customers in the
+parent. Given those totals words are independent, so a sweep is a map over word counts whose only result is one total for each
+restaurant, and random numbers hash from word, context and customer, so any task draws the same again. A pair met once always
+has one table, so only pairs met again are seated. The last sweeps' predictive probabilities are averaged.
+
+The most frequent words' restaurants have numbers and their totals go to every task. All others are told apart by 63 bits of
+a hash; their totals are rows that are joined to the parts of the model, by hash of the word, in which the context occurs.
 
 Documents come in blocks. A block sends each of its distinct words once, with the contexts and documents it occurs in;
-such rows meet the word's row of the model, and only sums for each document come back.
+such rows meet the word's row of the model in its part, and only sums for each document come back. A word too frequent for
+one part has its row in several, and blocks choose among them.
 """
 
 from __future__ import annotations
@@ -17,17 +20,19 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from basketry.llm.common import ascii_words, columns, list_column, mixed, small_batches, texts, written
 
-CONTEXTS = 256  # restaurants: 0 after any other word, 1 at the begin of a text, the others after a frequent word
+CONTEXTS = 256  # numbered restaurants: 0 is none, 1 at the begin of a text, the others after a frequent word
+PART = 1_000_000  # training tokens of a part, about
 DOCUMENTS = 4_096  # of a block
 DISCOUNT, STRENGTH = 0.8, 5.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 50.0
@@ -35,9 +40,10 @@ BURN_IN, SAMPLES = 2, 2  # sweeps; those averaged
 ONE_BY_ONE = 64  # customers seated singly; later ones come in parties of an eighth of those seated
 HELD_ENTRIES = 2_000_000
 END = b""  # no word is empty
-POSTINGS = "block long, word binary, context array<short>, document array<short>, doc_ids array<long>, held array<boolean>"
-COUNTS = "word binary, context array<short>, n array<int>"
-MODEL = "word binary, total long, context array<short>, probability array<float>, parent array<double>"
+POSTINGS = "block long, word binary, context array<long>, document array<short>, doc_ids array<long>, held array<boolean>"
+COUNTS = "word binary, context array<long>, n array<int>"
+REPEATED = "part long, word binary, singles long, context array<long>, n array<int>"
+MODEL = "word binary, total long, context array<long>, probability array<float>, parent array<double>, rare array<long>, own array<float>"
 SUMS = "block long, document array<short>, n_tokens array<int>, n_known array<int>, base_score array<double>, score array<double>"
 MEASURES = ("n_tokens", "n_known", "base_score", "score")
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -72,6 +78,11 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return texts(documents).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def context_hash(word: bytes) -> int:
+    """The restaurant of a word without a number; never one of the numbers, as it is negative."""
+    return (xxh3_64_intdigest(word) >> 1) - 2**63
+
+
 def postings(documents: DataFrame, frequent: list[bytes]) -> DataFrame:
     """For every block a row for each distinct word: the context and document of each occurrence; and one row without a word
     that lists the block's documents. Occurrences in held-out documents have the document as -1 - its place."""
@@ -91,8 +102,8 @@ def postings(documents: DataFrame, frequent: list[bytes]) -> DataFrame:
                 tokens.append(np.array(own, dtype=np.int32))
                 lengths.append(len(own))
             flat = np.concatenate(tokens)
-            of_word = np.array([contexts.get(word, 0) for word in known], dtype=np.int16)
-            context = np.concatenate([[1], of_word[flat[:-1]]]).astype(np.int16)
+            of_word = np.array([contexts.get(word) or context_hash(word) for word in known], dtype=np.int64)
+            context = np.concatenate([[1], of_word[flat[:-1]]])
             context[np.cumsum([0, *lengths])[:-1]] = 1
             held = np.array([is_held_out(doc_id) for doc_id in ids])
             places = np.arange(len(ids))
@@ -103,19 +114,23 @@ def postings(documents: DataFrame, frequent: list[bytes]) -> DataFrame:
             block = np.full(len(words), part + number)
             nothing = pa.nulls(len(words), pa.list_(pa.int64())), pa.nulls(len(words), pa.list_(pa.bool_()))
             names = ["block", "word", "context", "document", "doc_ids", "held"]
-            rows = [pa.array(block), pa.array(words, pa.binary()), _grouped(context[order], each, pa.int16()), _grouped(document[order], each, pa.int16())]
+            rows = [pa.array(block), pa.array(words, pa.binary()), _grouped(context[order], each, pa.int64()), _grouped(document[order], each, pa.int16())]
             yield pa.RecordBatch.from_arrays([*rows, *nothing], names)
-            none = pa.nulls(1, pa.list_(pa.int16()))
+            none = pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int16()))
             listed = [pa.array([ids], pa.list_(pa.int64())), pa.array([held.tolist()], pa.list_(pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([pa.array([part + number]), pa.nulls(1, pa.binary()), none, none, *listed], names)
+            yield pa.RecordBatch.from_arrays([pa.array([part + number]), pa.nulls(1, pa.binary()), *none, *listed], names)
 
     return texts(documents).mapInArrow(post, POSTINGS)
 
 
 def _by_context(words: np.ndarray, context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sums for each (word number, context), in order."""
-    keys, place = np.unique(words.astype(np.int64) * CONTEXTS + context, return_inverse=True)
-    return keys // CONTEXTS, keys % CONTEXTS, np.bincount(place, weights=n, minlength=len(keys)).astype(np.int64)
+    order = np.lexsort((context, words))
+    words, context, n = words[order], context[order], n[order]
+    new = np.ones(len(words), dtype=bool)
+    new[1:] = (words[1:] != words[:-1]) | (context[1:] != context[:-1])
+    first = np.flatnonzero(new)
+    return words[first], context[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def context_counts(posted: DataFrame) -> DataFrame:
@@ -126,10 +141,10 @@ def context_counts(posted: DataFrame) -> DataFrame:
             context, lengths = _flat(batch.column("context"))
             training = _flat(batch.column("document"))[0] >= 0
             row = np.repeat(np.arange(batch.num_rows), lengths)
-            row, context, n = _by_context(row[training], context[training], np.ones(int(training.sum())))
+            row, context, n = _by_context(row[training], context[training], np.ones(int(training.sum()), dtype=np.int64))
             seen, each = np.unique(row, return_counts=True)
             word = batch.column("word").take(pa.array(seen))
-            yield pa.RecordBatch.from_arrays([word, _grouped(context, each, pa.int16()), _grouped(n, each, pa.int32())], ["word", "context", "n"])
+            yield pa.RecordBatch.from_arrays([word, _grouped(context, each, pa.int64()), _grouped(n, each, pa.int32())], ["word", "context", "n"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -139,7 +154,7 @@ def context_counts(posted: DataFrame) -> DataFrame:
             context, lengths = _flat(batch.column("context"))
             own = np.array([known.setdefault(w, len(known)) for w in columns(batch, "word")[0]], dtype=np.int64)
             waiting.append([np.repeat(own, lengths), context.astype(np.int64), _flat(batch.column("n"))[0].astype(np.int64)])
-            if sum(len(w[0]) for w in waiting[1:]) > HELD_ENTRIES:
+            if sum(len(w[0]) for w in waiting[1:]) > max(HELD_ENTRIES, len(waiting[0][0])):
                 waiting = [list(_by_context(*map(np.concatenate, zip(*waiting, strict=True))))]
         words, context, n = _by_context(*map(np.concatenate, zip(*waiting, strict=True)))
         names, each = list(known), np.bincount(words, minlength=len(known))
@@ -148,7 +163,7 @@ def context_counts(posted: DataFrame) -> DataFrame:
             stop = min(start + 20_000, len(names))
             cut = slice(ends[start], ends[stop])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[start:stop], pa.binary()), _grouped(context[cut], each[start:stop], pa.int16()), _grouped(n[cut], each[start:stop], pa.int32())],
+                [pa.array(names[start:stop], pa.binary()), _grouped(context[cut], each[start:stop], pa.int64()), _grouped(n[cut], each[start:stop], pa.int32())],
                 ["word", "context", "n"],
             )
 
@@ -158,14 +173,11 @@ def context_counts(posted: DataFrame) -> DataFrame:
 
 @dataclass
 class Totals:
-    """What a sweep leaves: tables in every restaurant and in the parent."""
+    """What a sweep leaves, the totals of restaurants without a number aside."""
 
     tables: np.ndarray  # (CONTEXTS,)
     parent_tables: float
-
-    @property
-    def parent_customers(self) -> float:
-        return float(self.tables.sum())
+    parent_customers: float
 
 
 def _chance(seed: np.ndarray, step: int) -> np.ndarray:
@@ -194,17 +206,28 @@ def seat(n: np.ndarray, new: np.ndarray, discount: float, seed: np.ndarray) -> n
 class Sweep:
     """The seating of some words in sweep number `number`, given the totals of the sweep before."""
 
-    def __init__(self, words: list[bytes], row: np.ndarray, context: np.ndarray, n: np.ndarray, before: Totals, vocabulary: int, number: int):
-        self.row, self.context, self.n = row, context, n
+    def __init__(
+        self,
+        words: list[bytes],
+        singles: np.ndarray,
+        row: np.ndarray,
+        context: np.ndarray,
+        n: np.ndarray,
+        met: np.ndarray,
+        before: Totals,
+        vocabulary: int,
+        number: int,
+    ):
+        """`row`, `context`, `n` are pairs met again, `met` the tables of their restaurants before; `singles` counts a word's others."""
         seed = np.array([xxh3_64_intdigest(w, seed=number) for w in words], dtype=np.uint64)
         seeds = mixed(seed[row] + context.astype(np.uint64))
-        opening = STRENGTH + DISCOUNT * before.tables[context]
+        opening = STRENGTH + DISCOUNT * met
         self.base = 1 / (vocabulary + 1)
-        self.customers = np.bincount(row, minlength=len(words)).astype(np.float64)  # one table each to begin with
+        self.customers = singles + np.bincount(row, minlength=len(words)).astype(np.float64)  # one table each to begin with
         for again in range(2):
             self.parent_tables = seat(self.customers.astype(np.int64), np.full(len(words), self._parent_opening(before) * self.base), PARENT_DISCOUNT, seed + np.uint64(again))
             self.tables = seat(n, opening * self.parent(before)[row], DISCOUNT, seeds + np.uint64(again))
-            self.customers = np.bincount(row, weights=self.tables, minlength=len(words))
+            self.customers = singles + np.bincount(row, weights=self.tables, minlength=len(words))
         self.parent_tables = np.minimum(self.parent_tables, self.customers)
 
     @staticmethod
@@ -216,81 +239,158 @@ class Sweep:
         own = self.customers - PARENT_DISCOUNT * self.parent_tables
         return (own + self._parent_opening(totals) * self.base) / (PARENT_STRENGTH + totals.parent_customers)
 
-    def predictive(self, after: Totals, visits: np.ndarray) -> np.ndarray:
-        """The probability of each (context, word) that occurs, by the totals of this very sweep."""
-        opening = STRENGTH + DISCOUNT * after.tables[self.context]
-        return (self.n - DISCOUNT * self.tables + opening * self.parent(after)[self.row]) / (STRENGTH + visits[self.context])
 
+def _rows(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    table = table.combine_chunks()
+    context, lengths = _flat(table.column("context").combine_chunks())
+    return table.column("word").to_pylist(), np.repeat(np.arange(len(lengths)), lengths), context, _flat(table.column("n").combine_chunks())[0].astype(np.int64)
 
-def _rows(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    context, lengths = _flat(batch.column("context"))
-    row = np.repeat(np.arange(batch.num_rows), lengths)
-    return columns(batch, "word")[0], row, context.astype(np.int64), _flat(batch.column("n"))[0].astype(np.int64)
 
+def _met(context: np.ndarray, named: np.ndarray, sent: pa.Table, column: str) -> np.ndarray:
+    """The value of each context: of its number, or as sent."""
+    keys = sent.column("context").to_numpy()
+    order = np.argsort(keys)
+    found = named[np.maximum(context, 0)].astype(np.float64)
+    rare = context < 0
+    found[rare] = sent.column(column).to_numpy()[order][np.searchsorted(keys[order], context[rare])]
+    return found
 
-def _sweep(counts: DataFrame, before: Totals, vocabulary: int, number: int) -> Totals:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, parent = np.zeros(CONTEXTS), 0.0
-        for batch in batches:
-            done = Sweep(*_rows(batch), before, vocabulary, number)
-            tables += np.bincount(done.context, weights=done.tables, minlength=CONTEXTS)
-            parent += done.parent_tables.sum()
-        yield pa.RecordBatch.from_pydict({"context": np.arange(-1, CONTEXTS), "tables": np.concatenate([[parent], tables])})
 
-    summed = counts.mapInArrow(run, "context long, tables double").groupBy("context").agg(F.sum("tables").alias("tables"))
-    found = {r["context"]: r["tables"] for r in summed.collect()}
-    return Totals(np.array([found.get(c, 0.0) for c in range(CONTEXTS)]), found.get(-1, 0.0))
+def _part(parts: int, shift: Column | int = 0) -> Column:
+    return F.pmod(F.xxhash64("word") + shift, F.lit(parts)).cast("long")
+
+
+def _sweep(repeated: DataFrame, sent: DataFrame, before: Totals, vocabulary: int, number: int, singles: np.ndarray, all_singles: int) -> tuple[Totals, DataFrame]:
+    """The totals of a sweep, and the tables of pairs met again in each restaurant."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        words, row, context, n = _rows(left)
+        done = Sweep(words, left.column("singles").to_numpy(), row, context, n, _met(context, before.tables, right, "tables"), before, vocabulary, number)
+        own, place = np.unique(context, return_inverse=True)
+        tables = np.bincount(place, weights=done.tables, minlength=len(own))
+        return pa.table({"context": np.append(own, 0), "tables": np.append(tables, done.parent_tables.sum())})
+
+    seated = repeated.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(run, "context long, tables double")
+    sums = written(seated.groupBy("context").agg(F.sum("tables").alias("tables")), "tables")
+    named = {r["context"]: r["tables"] for r in sums.where(F.col("context") >= 0).collect()}
+    sums = sums.where(F.col("context") != 0)
+    customers = all_singles + (sums.agg(F.sum("tables")).first()[0] or 0.0)
+    return Totals(singles + np.array([0.0, *(named.get(c, 0.0) for c in range(1, CONTEXTS))]), named.get(0, 0.0), customers), sums
 
 
 @dataclass
 class Model:
-    rows: DataFrame  # MODEL: a training word's probability in the contexts it was seen in, and by the parent of each sample
+    rows: DataFrame  # MODEL: a training word's probability in the numbered contexts it was seen in, and by the parent of each
+    # sample; in each other context, its customers less what their tables discount
+    restaurants: DataFrame  # (context, scale, back) without a number: what one customer weighs, and `opening` in each sample
     tokens: int
     vocabulary: int
     opening: np.ndarray  # (SAMPLES, CONTEXTS): what a word not seen in a context gets of its parent's probability
     unknown: np.ndarray  # (SAMPLES,): the parent's probability of a word never seen
 
 
-def fit(posted: DataFrame) -> Model:
-    """Sample the seating of all training words."""
-    counts = written(context_counts(posted), "word-counts")
-    flat = counts.select(F.explode(F.arrays_zip("context", "n")).alias("e"))
-    per_context = flat.groupBy("e.context").agg(F.count(F.lit(1)).alias("types"), F.sum("e.n").alias("n")).collect()
-    visits, types = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in per_context:
-        visits[r["context"]], types[r["context"]] = r["n"], r["types"]
-    vocabulary, tokens = counts.count(), int(visits.sum())
-    totals = [Totals(types, float(vocabulary))]
-    for number in range(BURN_IN + SAMPLES):
-        totals.append(_sweep(counts, totals[-1], vocabulary, number))
-    shared = counts.sparkSession.sparkContext.broadcast((totals, visits))
+def fit(posted: DataFrame, parts: int = 8) -> Model:
+    """Sample the seating of all training words, in `parts` parts."""
+    counts = written(context_counts(posted).withColumn("part", _part(parts)), "word-counts")
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_totals, met = shared.value
+    def totals_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, row, context, n = _rows(batch)
-            average, parents = np.zeros(len(n)), []
-            for number in range(BURN_IN, BURN_IN + SAMPLES):
-                done = Sweep(words, row, context, n, all_totals[number], vocabulary, number)
-                average += done.predictive(all_totals[number + 1], met) / SAMPLES
-                parents.append(done.parent(all_totals[number + 1]))
-            each = np.bincount(row, minlength=len(words))
-            total = np.bincount(row, weights=n, minlength=len(words)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    pa.array(total),
-                    _grouped(context.astype(np.int16), each, pa.int16()),
-                    _grouped(average.astype(np.float32), each, pa.float32()),
-                    list_column(np.array(parents).T, pa.float64()),
-                ],
-                ["word", "total", "context", "probability", "parent"],
-            )
+            own, place = np.unique(_flat(batch.column("context"))[0], return_inverse=True)
+            n = _flat(batch.column("n"))[0]
+            sums = [np.bincount(place, weights=w, minlength=len(own)).astype(np.int64) for w in (n, np.ones(len(n)), n == 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, *sums)], ["context", "n", "types", "singles"])
+
+    def met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, lengths = _flat(batch.column("context"))
+            n, row = _flat(batch.column("n"))[0], np.repeat(np.arange(batch.num_rows), lengths)
+            more = n > 1
+            each = np.bincount(row[more], minlength=batch.num_rows)
+            lists = [_grouped(context[more], each, pa.int64()), _grouped(n[more], each, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("word"), pa.array(lengths - each, pa.int64()), *lists], ["part", "word", "singles", "context", "n"])
+
+    measures = ("n", "types", "singles")
+    per_context = counts.select("context", "n").mapInArrow(totals_of, "context long, n long, types long, singles long")
+    restaurants = written(per_context.groupBy("context").agg(*(F.sum(m).alias(m) for m in measures)), "restaurants")
+    named = np.zeros((3, CONTEXTS))
+    for r in restaurants.where(F.col("context") >= 0).collect():
+        named[:, r["context"]] = [r[m] for m in measures]
+    tokens, all_types, all_singles = (int(x or 0) for x in restaurants.agg(*(F.sum(m) for m in measures)).first())
+    rare = restaurants.where(F.col("context") < 0)
+    repeated = written(counts.select("part", "word", "context", "n").mapInArrow(met_again, REPEATED), "met-again")
+    needed = written(_contexts_of(repeated).join(rare.drop("n"), "context"), "needed")
+    vocabulary = counts.count()
+    totals, sums = [Totals(named[1], float(vocabulary), float(all_types))], []
+    sent = [needed.select("part", "context", F.col("types").cast("double").alias("tables"))]
+    for number in range(BURN_IN + SAMPLES):
+        after, found = _sweep(repeated, sent[-1], totals[-1], vocabulary, number, named[2], all_singles)
+        totals.append(after)
+        sums.append(found)
+        sent.append(needed.join(found, "context").select("part", "context", (F.col("singles") + F.col("tables")).alias("tables")))
+    shared = counts.sparkSession.sparkContext.broadcast((totals, named[0]))
+
+    def predict(left: pa.Table, right: pa.Table) -> pa.Table:
+        all_totals, visits = shared.value
+        words, row, context, n = _rows(left)
+        more, numbered, singles = n > 1, context >= 0, np.bincount(row[n == 1], minlength=len(words))
+        own, parents, chance = np.zeros(len(n)), [], np.zeros(int(numbered.sum()))
+        for i, number in enumerate(range(BURN_IN, BURN_IN + SAMPLES)):
+            before, after = all_totals[number], all_totals[number + 1]
+            met = _met(context[more], before.tables, right, f"tables{i}")
+            done = Sweep(words, singles, row[more], context[more], n[more], met, before, vocabulary, number)
+            tables = np.ones(len(n))
+            tables[more] = done.tables
+            parents.append(done.parent(after))
+            own += (n - DISCOUNT * tables) / SAMPLES
+            at = context[numbered]
+            opening = STRENGTH + DISCOUNT * after.tables[at]
+            chance += ((n - DISCOUNT * tables)[numbered] + opening * parents[-1][row[numbered]]) / (STRENGTH + visits[at]) / SAMPLES
+        each, others = (np.bincount(row[x], minlength=len(words)) for x in (numbered, ~numbered))
+        lists = {
+            "context": _grouped(context[numbered], each, pa.int64()),
+            "probability": _grouped(chance.astype(np.float32), each, pa.float32()),
+            "parent": list_column(np.array(parents).T, pa.float64()),
+            "rare": _grouped(context[~numbered], others, pa.int64()),
+            "own": _grouped(own[~numbered].astype(np.float32), others, pa.float32()),
+        }
+        total = np.bincount(row, weights=n, minlength=len(words)).astype(np.int64)
+        return pa.table({"word": pa.array(words, pa.binary()), "total": pa.array(total), **lists})
 
     last = totals[BURN_IN + 1 :]
-    opening = np.array([(STRENGTH + DISCOUNT * t.tables) / (STRENGTH + visits) for t in last])
+    opening = np.array([(STRENGTH + DISCOUNT * t.tables) / (STRENGTH + named[0]) for t in last])
     unknown = [(PARENT_STRENGTH + PARENT_DISCOUNT * t.parent_tables) / (vocabulary + 1) / (PARENT_STRENGTH + t.parent_customers) for t in last]
-    return Model(counts.mapInArrow(predict, MODEL), tokens, vocabulary, opening, np.array(unknown))
+    befores = needed.select("part", "context")
+    backs = []
+    for i in range(SAMPLES):
+        befores = befores.join(sent[BURN_IN + i].withColumnRenamed("tables", f"tables{i}"), ["part", "context"])
+        rare = rare.join(sums[BURN_IN + i].withColumnRenamed("tables", f"tables{i}"), "context", "left")
+        backs.append((STRENGTH + DISCOUNT * (F.col("singles") + F.coalesce(F.col(f"tables{i}"), F.lit(0.0)))) / (STRENGTH + F.col("n")))
+    rows = counts.select("part", "word", "context", "n").groupBy("part").cogroup(befores.groupBy("part")).applyInArrow(predict, MODEL)
+    rare = written(rare.select("context", (1 / (STRENGTH + F.col("n"))).alias("scale"), F.array(*backs).alias("back")), "backing")
+    return Model(rows, rare, tokens, vocabulary, opening, np.array(unknown))
+
+
+def _contexts_of(rows: DataFrame) -> DataFrame:
+    """The distinct (part, context) of contexts without a number."""
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def distinct() -> list[np.ndarray]:
+            part, context = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            return list(_by_context(part, context, np.zeros(len(part)))[:2])
+
+        waiting = [[np.zeros(0, dtype=np.int64)] * 2]
+        for batch in batches:
+            context, lengths = _flat(batch.column("context"))
+            part = np.repeat(batch.column("part").to_numpy(), lengths)
+            waiting.append([part[context < 0], context[context < 0]])
+            if sum(len(w[0]) for w in waiting) > HELD_ENTRIES:
+                waiting = [distinct()]
+                if len(waiting[0][0]) > HELD_ENTRIES // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in waiting[0]], ["part", "context"])
+                    waiting = [[x[:0] for x in waiting[0]]]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in distinct()], ["part", "context"])
+
+    return rows.select("part", "context").mapInArrow(contexts, "part long, context long").distinct()
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -325,6 +425,58 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Lookup:
+    """A part of the model: the restaurants and words that its postings meet."""
+
+    def __init__(self, restaurants: list[pa.RecordBatch], rows: list[pa.RecordBatch], opening: np.ndarray, unknown: np.ndarray):
+        samples = len(unknown)
+        self.opening, self.words = opening, {}
+        held = [(_flat(b.column("context"))[0], _flat(b.column("own"))[0], _flat(b.column("parent"))[0].reshape(-1, samples)) for b in restaurants]
+        held.append((np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros((0, samples))))
+        context, scale, back = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(context)
+        self.restaurants, self.scale, self.back = context[order], scale[order], back[order]
+        totals, parents, pairs = [np.zeros(1, dtype=np.int64)], [unknown[None]], [(np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)]
+        for b in rows:
+            start = len(self.words) + 1
+            self.words |= {w: start + i for i, w in enumerate(columns(b, "word")[0])}
+            totals.append(b.column("total").to_numpy())
+            parents.append(_flat(b.column("parent"))[0].reshape(-1, samples))
+            for at, value in (("context", "probability"), ("rare", "own")):
+                context, lengths = _flat(b.column(at))
+                pairs.append((np.repeat(np.arange(start, start + b.num_rows), lengths), context, _flat(b.column(value))[0].astype(np.float64)))
+        self.total, self.parent = np.concatenate(totals), np.concatenate(parents)
+        word, context, value = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        self.contexts, place = np.unique(context, return_inverse=True)
+        key = word * len(self.contexts) + place
+        order = np.argsort(key)
+        self.keys, self.values = key[order], value[order]
+
+    @staticmethod
+    def _at(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each wanted value is, and whether it is there."""
+        if not len(sorted_values):
+            return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+        at = np.minimum(np.searchsorted(sorted_values, wanted), len(sorted_values) - 1)
+        return at, sorted_values[at] == wanted
+
+    def probability(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Averaged over the samples; a context without a restaurant leaves all to the parent."""
+        rare = context < 0
+        at, met = self._at(self.restaurants, context)
+        back = self.opening[:, np.maximum(context, 0)].T
+        back[rare] = 1.0
+        back[met] = self.back[at[met]]
+        found = (back * self.parent[word]).mean(axis=1)
+        place, known = self._at(self.contexts, context)
+        pair, seen = self._at(self.keys, word * len(self.contexts) + place)
+        seen &= known
+        found[seen & ~rare] = self.values[pair[seen & ~rare]]
+        seen &= rare
+        found[seen] += self.values[pair[seen]] * self.scale[at[seen]]
+        return found
+
+
 def score(documents: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -334,9 +486,12 @@ def score(documents: DataFrame) -> DataFrame:
     table gives no rows.
     """
     spark = documents.sparkSession
-    frequent = word_counts(documents).where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(CONTEXTS - 2).collect()
-    posted = written(postings(documents, [bytes(r["word"]) for r in frequent]), "postings")
-    model = fit(posted)
+    seen = Observation()
+    counts = word_counts(documents).observe(seen, F.sum("n").alias("tokens"))
+    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(CONTEXTS - 1).collect()]
+    parts = max(8, -(-(seen.get["tokens"] or 0) // PART))
+    posted = written(postings(documents, [word for word, _ in top if word != END][: CONTEXTS - 2]), "postings")
+    model = fit(posted, parts)
     shared = spark.sparkContext.broadcast((model.tokens, model.vocabulary, model.opening, model.unknown))
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,26 +508,29 @@ def score(documents: DataFrame) -> DataFrame:
             lists += [_grouped(v.astype(k.to_pandas_dtype()), each, k) for v, k in zip(values.T, kinds, strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(blocks), *lists], ["block", "document", *MEASURES])
 
+        part, held, lookup = None, ([], []), None
         for batch in batches:
-            context, lengths = _flat(batch.column("context"))
-            document = _flat(batch.column("document"))[0]
-            document = np.where(document < 0, -1 - document, document).astype(np.int64)
-            row = np.repeat(np.arange(batch.num_rows), lengths)
-            total = batch.column("total").fill_null(0).to_numpy(zero_copy_only=False)
-            parent = np.tile(unknown, (batch.num_rows, 1))
-            parent[batch.column("total").is_valid().to_numpy(zero_copy_only=False)] = _flat(batch.column("parent"))[0].reshape(-1, len(unknown))
-            probability = sum(opening[s][context] * parent[row, s] for s in range(len(unknown))) / len(unknown)
-            seen, seen_lengths = _flat(batch.column("seen"))
-            pairs = np.repeat(np.arange(batch.num_rows), seen_lengths) * CONTEXTS + seen
-            if len(pairs):
-                own = row * CONTEXTS + context
-                at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
-                match = pairs[at] == own
-                probability[match] = _flat(batch.column("probability"))[0][at[match]]
-            base = np.log10((total + 1) / (tokens + vocabulary + 1))
-            block = batch.column("block").to_numpy()
-            values = np.stack([np.ones(len(row)), (total > 0)[row], base[row], np.log10(probability)], axis=1)
-            waiting.append((block[row] * DOCUMENTS + document, values))
+            part_of, kind_of = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+            for at in np.split(np.arange(batch.num_rows), np.flatnonzero((np.diff(part_of) != 0) | (np.diff(kind_of) != 0)) + 1):
+                if not len(at):
+                    continue
+                run = batch.slice(at[0], len(at))
+                if part_of[at[0]] != part:
+                    part, held, lookup = part_of[at[0]], ([], []), None
+                if kind_of[at[0]] < 2:
+                    held[kind_of[at[0]]].append(run)
+                    continue
+                lookup = lookup or Lookup(*held, opening, unknown)
+                context, lengths = _flat(run.column("context"))
+                document = _flat(run.column("document"))[0]
+                document = np.where(document < 0, -1 - document, document).astype(np.int64)
+                row = np.repeat(np.arange(run.num_rows), lengths)
+                word = np.array([lookup.words.get(w, 0) for w in columns(run, "word")[0]], dtype=np.int64)
+                total = lookup.total[word]
+                base = np.log10((total + 1) / (tokens + vocabulary + 1))
+                block = run.column("block").to_numpy()
+                values = np.stack([np.ones(len(row)), (total > 0)[row], base[row], np.log10(lookup.probability(word[row], context))], axis=1)
+                waiting.append((block[row] * DOCUMENTS + document, values))
             if sum(len(k) for k, _ in waiting) > HELD_ENTRIES // 4:
                 (keys, sums), waiting = added(), []
                 if len(keys) > HELD_ENTRIES // 2:
@@ -380,9 +538,18 @@ def score(documents: DataFrame) -> DataFrame:
                     keys, sums = keys[:0], sums[:0]
         yield rows(*added())
 
-    seen = model.rows.withColumnRenamed("context", "seen")
-    met = posted.where(F.col("word").isNotNull()).select("block", "word", "context", "document").join(seen, "word", "left")
-    sums = met.drop("word").mapInArrow(sum_up, SUMS)
+    copies = F.lit(1)
+    for word, n in top:
+        if n > PART:
+            copies = F.when(F.col("word") == F.lit(word), -(-n // PART)).otherwise(copies)
+    asked = posted.where(F.col("word").isNotNull()).select("block", "word", "context", "document")
+    asked = asked.withColumn("part", _part(parts, F.pmod(F.xxhash64("block"), copies.cast("long"))))
+    rows = model.rows.withColumn("copy", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1))).withColumn("part", _part(parts, F.col("copy"))).drop("copy")
+    back = _contexts_of(asked).join(model.restaurants, "context")
+    back = back.select("part", F.array("context").alias("context"), F.array(F.col("scale").cast("float")).alias("own"), F.col("back").alias("parent"))
+    kinds = [df.withColumn("kind", F.lit(i)) for i, df in enumerate((back, rows, asked))]
+    met = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kinds)
+    sums = met.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(sum_up, SUMS)
     listed = posted.where(F.col("word").isNull()).select("block", "doc_ids", "held")
     scored = sums.unionByName(listed, allowMissingColumns=True).repartition("block").mapInArrow(_finish, SCORED)
     return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
