@@ -105,8 +105,9 @@ def _repeated(places: DataFrame, name: str, among: DataFrame | None = None) -> D
 
 
 def _roles(rows: DataFrame) -> DataFrame:
-    """(doc_id, print, role) of the rows whose text another row holds too; texts are told apart by 128 bits."""
-    prints = rows.select("doc_id", "print", F.xxhash64("text", F.lit(1)).alias("other"))
+    """(doc_id, print, role) of the rows whose text another row holds too; texts are told apart by two hashes from different
+    seeds: Spark hashes a column with the hash of those before it as the seed, so the seed has to come first."""
+    prints = rows.select("doc_id", "print", F.xxhash64(F.lit(1), "text").alias("other"))
     held = prints.groupBy("print", "other").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where(F.col("n") > 1)
     role = F.when(F.col("doc_id").eqNullSafe(F.col("least")), FIRST).otherwise(AGAIN)
     return prints.join(_dealt_anew(held), ["print", "other"]).groupBy("doc_id", "print").agg(F.max(role).alias("role"))
