@@ -2,6 +2,9 @@
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LEAF = ", ".join(
+    f"case when {c} is null then '-' else concat(strlen(cast({c} as varchar)), ':', {c}) end" for c in ("doc_id", "source", "lang", "n_chars", "text")
+)
 
 ORACLE = {
     "op1_line_dedup": f"""
@@ -97,4 +100,54 @@ ORACLE = {
             from judged group by doc_id)
         select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from docs left join kept using (doc_id)""",
+    "op13_merkle_manifest": f"""
+        with recursive docs as (
+            select *, row_number() over () as id,
+                   list_reduce(
+                       list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)),
+                       lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) as crc
+            from documents),
+        named as (
+            select id, doc_id, source, sha256(concat({LEAF})) as leaf,
+                   case when xor(crc, 4294967295) % 2 = 0 then sha256(concat({LEAF.replace("text", "replace(text, chr(10), '')")}))
+                        else sha256(concat({LEAF})) end as claimed
+            from docs),
+        leaves as (
+            select *, dense_rank() over (order by source nulls first) - 1 as tree,
+                   row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos
+            from named),
+        nodes as (
+            select 0 as level, tree, pos, leaf as node from leaves
+            union all
+            select level + 1, tree, pos // 3, sha256(string_agg(node, '' order by pos))
+            from (select *, max(pos) over (partition by tree) as last from nodes) where last > 0 group by level, tree, pos // 3),
+        subroots as (select tree, node as subroot, level as height from nodes qualify level = max(level) over (partition by tree)),
+        over as (
+            select 0 as level, tree as pos, subroot as node from subroots
+            union all
+            select level + 1, pos // 3, sha256(string_agg(node, '' order by pos))
+            from (select *, max(pos) over () as last from over) where last > 0 group by level, pos // 3),
+        folds as (
+            select id, tree, pos, 0 as level, claimed as folded, '' as proof from leaves
+            union all
+            select f.id, f.tree, f.pos // 3, f.level + 1,
+                   sha256(concat(coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos < f.pos), ''), f.folded,
+                                 coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos > f.pos), ''))),
+                   concat(f.proof, coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos <> f.pos), ''))
+            from folds f join subroots s on s.tree = f.tree and f.level < s.height
+            join nodes n on n.tree = f.tree and n.level = f.level and n.pos // 3 = f.pos // 3
+            group by f.id, f.tree, f.pos, f.level, f.folded, f.proof),
+        above as (
+            select f.id, f.tree as pos, 0 as level, f.folded, f.proof from folds f join subroots s on s.tree = f.tree and f.level = s.height
+            union all
+            select a.id, a.pos // 3, a.level + 1,
+                   sha256(concat(coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos < a.pos), ''), a.folded,
+                                 coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos > a.pos), ''))),
+                   concat(a.proof, coalesce(string_agg(n.node, '' order by n.pos) filter (n.pos <> a.pos), ''))
+            from above a join over n on n.level = a.level and n.pos // 3 = a.pos // 3
+            where a.level < (select max(level) from over)
+            group by a.id, a.pos, a.level, a.folded, a.proof),
+        top as (select node as root, level as height from over qualify level = max(level) over ())
+        select l.doc_id, l.leaf, s.subroot, t.root, sha256(a.proof) as proof_sha256, a.folded as folded_root, a.folded = t.root as verified
+        from leaves l join subroots s on s.tree = l.tree join above a on a.id = l.id cross join top t where a.level = t.height""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html_text, language_model, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, topk
+from basketry.llm import decontaminate, html_text, language_model, line_dedup, manifest, near_dedup, packing, quality, substring_dedup, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -99,3 +99,12 @@ def op10_token_files(table) -> DataFrame:
     folder = new_folder(documents.sparkSession, "token-files")
     token_files.write_token_files(documents, folder, tokenizer_path(), end_id=2)
     return token_files.read_documents(documents.sparkSession, folder)
+
+
+@query
+def op13_merkle_manifest(table) -> DataFrame:
+    documents = table("documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    proven = manifest.manifest(manifest.document_leaves(documents, tampered))
+    verified = F.col("folded_root") == F.col("root")
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", verified.alias("verified"))
