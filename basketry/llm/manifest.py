@@ -192,19 +192,20 @@ def manifest(leaves: DataFrame, height: int = HEIGHT) -> DataFrame:
     gives no rows.
     """
     group = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("."), "source"))
-    named = leaves.select(group.alias("group"), "doc_id", F.col("leaf").alias("node"), "claimed")
+    # Written first: the sort samples its input before it deals it out, and would hash all texts twice.
+    named = written(leaves.select(group.alias("group"), "doc_id", F.col("leaf").alias("node"), "claimed"), "digests")
     rows = written(_placed(named, "doc_id", "node"), "leaves")
     rounds = _rounds(rows, height)
     subroots = rounds[-1].select(F.lit("").alias("group"), F.col("group").alias("name"), "node")
     over = _rounds(written(_placed(subroots, "name"), "subroots"), height)
-    root = over[-1].select(F.col("group").alias("over"), F.col("node").alias("root"))
+    root = over[-1].select("node").first()  # the one row of the last round, or none
 
-    nothing = root.select(F.col("over").alias("group"), F.array().cast("array<string>").alias("sides"))
+    nothing = over[-1].select("group", F.array().cast("array<string>").alias("sides"))
     upper = _extended(
         over[0], _tops(over, nothing, height), height, "group string, subroot binary, sides array<string>",
         lambda row, sides, top: (row["name"], row["node"], [s.decode() for s in sides]),
     )
-    upper = written(upper.withColumn("over", F.lit("")).join(F.broadcast(root), "over"), "proofs")  # the root is one row
+    upper = written(upper.withColumn("root", F.lit(bytes(root.node) if root else None).cast("binary")), "proofs")
     tops = _tops(rounds, upper, height).join(upper.select("group", "subroot", "root"), "group")
 
     def give(row: dict, sides: list[bytes], top: dict) -> tuple:
