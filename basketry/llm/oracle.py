@@ -100,6 +100,27 @@ ORACLE = {
             from judged group by doc_id)
         select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from docs left join kept using (doc_id)""",
+    "op12_hard_negatives": """
+        with vectors as (
+            select row_number() over () as id, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        anchors as (
+            select vec_id as anchor_id, label, v, min(id) as anchor from vectors where vec_id % 50 = 0 group by vec_id, label, v),
+        scored as (
+            select a.anchor, a.anchor_id, a.label <> c.label as other, c.vec_id, c.id, cast(list_dot_product(a.v, c.v) as bigint) as score
+            from anchors a join vectors c on len(a.v) = len(c.v)),
+        positives as (
+            select anchor, anchor_id, vec_id as positive_id, score as positive_score,
+                   row_number() over (partition by anchor order by score desc, vec_id) as place
+            from scored where not other and vec_id <> anchor_id),
+        met as (
+            select p.anchor_id, p.positive_id, s.vec_id as negative_id, p.positive_score, s.score as negative_score,
+                   cast(row_number() over (partition by p.anchor, p.place order by s.score desc, s.vec_id) as integer) as rank
+            from positives p join scored s on s.anchor = p.anchor and s.other
+            where p.place <= 5 and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score)
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from met where rank <= 3""",
     "op13_merkle_manifest": f"""
         with recursive docs as (
             select *, row_number() over () as id,

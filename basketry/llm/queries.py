@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, html_text, language_model, line_dedup, manifest, near_dedup, packing, quality, substring_dedup, token_files, topk
+from basketry.llm import decontaminate, hard_negatives, html_text, language_model, line_dedup, manifest, near_dedup, packing, quality, substring_dedup, token_files, topk
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -101,6 +101,13 @@ def op10_token_files(table) -> DataFrame:
     return token_files.read_documents(documents.sparkSession, folder)
 
 
+@query
+def op12_hard_negatives(table) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_rows(table("embeddings"), label)
+    return hard_negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 @query
 def op13_merkle_manifest(table) -> DataFrame:
     documents = table("documents")
