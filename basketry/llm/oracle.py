@@ -100,6 +100,59 @@ ORACLE = {
             from judged group by doc_id)
         select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from docs left join kept using (doc_id)""",
+    "op11_url_filters": rf"""
+        with recursive cut as (
+            select page_id, html, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as after from pages),
+        parsed as (
+            select page_id, html, {LOWER.format("regexp_extract(after, '^[^/?#]*')")} as host, regexp_extract(after, '^[^/?#]*([^?#]*)', 1) as path
+            from (select page_id, html, coalesce(after, '') as after from cut)),
+        rules(verdict, rule, name, start) as (
+            values ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+                   ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+                   ('block', 'com/de/', 'com', '/de/')),
+        numbered as (select *, row_number() over () as id from parsed),
+        fits as (
+            select id, rule, verdict from numbered join rules
+            on (host = name or ends_with(host, '.' || name)) and starts_with(path, start)
+            qualify row_number() over (partition by id order by length(rule) desc, rule) = 1),
+        decided as (select n.*, f.rule, f.verdict from numbered n left join fits f using (id)),
+        hrefs as (
+            select host as source, unnest(regexp_extract_all(
+                regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<script\b.*?</script', ' ', 'g'),
+                               '(?is)<style\b.*?</style', ' ', 'g'),
+                '(?i)<a[ 	
+
+](?:[^<>]*?[ 	
+
+"''])?href[ 	
+
+]*=[ 	
+
+]*["'']?([^"'' 	
+
+<>]+)', 1)) as link
+            from parsed),
+        ends as (
+            select source, {LOWER.format("regexp_extract(link, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)")} as target from hrefs),
+        edges as (select distinct source, target from ends where source <> '' and target <> '' and source <> target),
+        ways as (
+            select 'trust' as kind, source as giver, target as taker from edges union all select 'distrust', target, source from edges),
+        flows as (select *, count(*) over (partition by kind, giver) as parts from ways),
+        amounts as (
+            select 0 as round, case verdict when 'allow' then 'trust' else 'distrust' end as kind, host, count(*) * 150000 as amount
+            from decided where rule is not null and host <> '' group by kind, host
+            union all
+            select a.round + 1, a.kind, f.taker, cast(sum(a.amount // f.parts) as bigint) * 85 // 100
+            from amounts a join flows f on f.kind = a.kind and f.giver = a.host where a.round < 20 and a.amount > 0
+            group by a.round, a.kind, f.taker),
+        hosts as (
+            select host, cast(sum(case kind when 'trust' then amount else 0 end) as bigint) as trust,
+                   cast(sum(case kind when 'distrust' then amount else 0 end) as bigint) as distrust
+            from amounts group by host)
+        select page_id, d.host, path, rule, coalesce(trust, 0) as trust, coalesce(distrust, 0) as distrust,
+               coalesce(verdict, case when coalesce(trust, 0) + coalesce(distrust, 0) = 0 or trust / (trust + distrust) >= 0.5
+                                      then 'allow' else 'block' end) as verdict
+        from decided d left join hosts h on h.host = d.host""",
     "op12_hard_negatives": """
         with vectors as (
             select row_number() over () as id, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,

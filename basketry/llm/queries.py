@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, hard_negatives, html_text, language_model, line_dedup, manifest, near_dedup, packing, quality, substring_dedup, token_files, topk
+from basketry.llm import decontaminate, hard_negatives, html_text, language_model, line_dedup, manifest, near_dedup, packing, quality, substring_dedup, token_files, topk, url_filters
 from basketry.llm.common import new_folder
 from basketry.session import tune
 
@@ -101,6 +101,20 @@ def op10_token_files(table) -> DataFrame:
     return token_files.read_documents(documents.sparkSession, folder)
 
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query
+def op11_url_filters(table) -> DataFrame:
+    return url_filters.judged(table("pages"), URL_RULES)
+
+
 @query
 def op12_hard_negatives(table) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
