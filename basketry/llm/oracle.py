@@ -120,17 +120,7 @@ ORACLE = {
             select host as source, unnest(regexp_extract_all(
                 regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<script\b.*?</script', ' ', 'g'),
                                '(?is)<style\b.*?</style', ' ', 'g'),
-                '(?i)<a[ 	
-
-](?:[^<>]*?[ 	
-
-"''])?href[ 	
-
-]*=[ 	
-
-]*["'']?([^"'' 	
-
-<>]+)', 1)) as link
+                '(?i)<a[ \t\n\r\f](?:[^<>]*?[ \t\n\r\f"''])?href[ \t\n\r\f]*=[ \t\n\r\f]*["'']?([^"'' \t\n\r\f<>]+)', 1)) as link
             from parsed),
         ends as (
             select source, {LOWER.format("regexp_extract(link, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)")} as target from hrefs),
