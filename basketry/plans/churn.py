@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions import rules
 from basketry.functions.exact import plain_ratio
 from basketry.operators.distribution import value_counts
-from basketry.operators.ranking import lowest_share, running_totals
+from basketry.operators.ranking import lowest_share, totalled
 
 FEATURES = ("recency_days", "frequency", "monetary", "r_score", "f_score", "m_score")
 
@@ -32,7 +32,7 @@ def churn_features(
 
 
 def stratified_split(
-    features: DataFrame, test_share: tuple[int, int] = (1, 5), seed: int = 42, method: str = "ranged"
+    features: DataFrame, test_share: tuple[int, int] = (1, 5), seed: int = 42, method: str = "selected"
 ) -> DataFrame:
     """Flag the test rows: the same share of both classes, chosen by a hash of the customer."""
     draw = F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f":{seed}")))
@@ -176,28 +176,31 @@ def _by_score(scored: DataFrame, score: str, label: str) -> DataFrame:
 def _cumulated(scored: DataFrame, score: str, label: str, method: str) -> tuple[DataFrame, Column, Column]:
     """Hits and false alarms at every distinct threshold from the highest down, and the class sizes."""
     by_score = _by_score(scored, score, label)
-    upto = running_totals(by_score, [F.desc("threshold")], {"_tp": "_pos", "_fp": "_neg"}, method)
-    return upto, upto.agg(F.sum("_pos")).scalar(), upto.agg(F.sum("_neg")).scalar()
+    upto, sums = totalled(by_score, [F.desc("threshold")], {"_tp": "_pos", "_fp": "_neg"}, method)
+    return upto, F.lit(sums["_tp"]).cast("bigint"), F.lit(sums["_fp"]).cast("bigint")
 
 
 def roc_curve(
-    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "ranged"
+    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "selected"
 ) -> DataFrame:
-    """False and true positive rate at every distinct score, after a starting point at (0, 0)."""
+    """False and true positive rate at every distinct score, after a starting point at (0, 0).
+
+    Points come from the highest threshold down, as the blocks of the running sums lie.
+    """
     upto, positives, negatives = _cumulated(scored, score, label, method)
     points = upto.select(
         plain_ratio(F.col("_fp"), negatives).alias("fpr"),
         plain_ratio(F.col("_tp"), positives).alias("tpr"),
         "threshold",
     )
-    start = scored.agg(
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.max(F.lit(None).cast("double")).alias("threshold")
+    start = scored.sparkSession.range(1, numPartitions=1).select(
+        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(None).cast(points.schema["threshold"].dataType).alias("threshold")
     )
-    return start.unionByName(points).orderBy(F.col("threshold").desc_nulls_first())
+    return start.unionByName(points)
 
 
 def roc_auc(
-    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "ranged"
+    scored: DataFrame, score: str = "churn_probability", label: str = "churned", method: str = "selected"
 ) -> DataFrame:
     """Chance that a churned customer scores above an active one, ties counting half."""
     upto, positives, negatives = _cumulated(scored, score, label, method)

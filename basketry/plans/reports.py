@@ -185,7 +185,7 @@ def spend_histogram(metrics: DataFrame, bins: int = 40) -> DataFrame:
 FIVE_NUMBERS = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
 
 
-def spread_by_segment(metrics: DataFrame, value: str, method: str = "ranged") -> DataFrame:
+def spread_by_segment(metrics: DataFrame, value: str, method: str = "selected") -> DataFrame:
     """Minimum, quartiles and maximum of a measure per RFM segment."""
     scored = metrics.where("rfm_segment IS NOT NULL")
     spread = quantiles(scored, "rfm_segment", value, FIVE_NUMBERS, method)

@@ -37,7 +37,7 @@ def rfm_base(orders: DataFrame, status: str = "completed") -> DataFrame:
 def rfm_score(
     base: DataFrame,
     recency_ascending: bool = False,
-    method: str = "ranged",
+    method: str = "selected",
     steps=rules.RFM_SEGMENTS,
     rest: str = rules.RFM_SEGMENT_BELOW,
 ) -> DataFrame:

@@ -132,8 +132,8 @@ def test_top_products_use_a_bounded_heap(spark):
 def test_equal_values_spread_over_blocks(spark, monkeypatch):
     """Three quarters of the values are equal; no block may hold them all, and their filter moves no rows."""
     layouts = []
-    lay_out = ranking._laid_out
-    monkeypatch.setattr(ranking, "_laid_out", lambda *a: layouts.append(lay_out(*a)) or layouts[-1])
+    lay_out = ranking.laid_out
+    monkeypatch.setattr(ranking, "laid_out", lambda *a: layouts.append(lay_out(*a)) or layouts[-1])
     frame = spark.range(40000).selectExpr("'all' as g", "if(id % 4 = 0, id, 7) as v").repartition(8)
     with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         ranged = ranking.quantiles(frame, "g", "v", {"mid": 0.5, "hi": 0.99}, "ranged")
@@ -144,7 +144,7 @@ def test_equal_values_spread_over_blocks(spark, monkeypatch):
 
 
 def test_rows_at_ranks_are_found_without_moving_the_table(spark):
-    laid = ranking._laid_out(spark.range(1000).selectExpr("id % 2 as g", "id"), [F.col("g"), F.col("id")])
+    laid = ranking.laid_out(spark.range(1000).selectExpr("id % 2 as g", "id"), [F.col("g"), F.col("id")])
     found = ranking.rows_at(laid, "g", lambda n: [F.lit(1), n])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

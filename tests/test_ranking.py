@@ -10,7 +10,7 @@ import frames
 from basketry.operators.ranking import lowest_share, ntiles, quantiles, running_totals
 from basketry.plans import rfm, staging
 
-METHODS = ["window", "ranged"]
+METHODS = ["window", "ranged", "selected"]
 
 
 def expected_tiles(rows, tiles, ascending):
@@ -46,8 +46,9 @@ def test_ranged_ntiles_equal_the_window_on_heavy_ties(spark):
         (F.hash("id") % 1000).cast("decimal(18,2)").alias("m"),
     )
     scores = {"a": ("v", True), "b": ("v", False), "c": ("m", True)}
-    window, ranged = (ntiles(frame, "k", scores, 4, how) for how in METHODS)
+    window, ranged, selected = (ntiles(frame, "k", scores, 4, how) for how in METHODS)
     assert window.exceptAll(ranged).isEmpty() and ranged.count() == 30000
+    assert window.exceptAll(selected).isEmpty() and selected.count() == 30000
     sizes = {r["a"]: r["count"] for r in ranged.groupBy("a").count().collect()}
     assert sizes == {1: 7500, 2: 7500, 3: 7500, 4: 7500}
 
