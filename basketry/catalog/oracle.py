@@ -70,6 +70,8 @@ def _scored(recency: str) -> str:
         from rfm_base))"""
 
 
+# Centres that customers are assigned to, with their numbers.
+_CENTRES = "(0, -0.71e0, 0.83e0, 0.91e0), (1, 0.13e0, 0.07e0, -0.11e0), (2, 1.53e0, -1.09e0, -0.97e0), (3, -0.59e0, -0.67e0, -0.53e0)"
 CTES: dict[str, str] = {name: raw_sql(name) for name in COLUMNS}
 CTES |= {
     "dim_customers": f"""
@@ -122,6 +124,23 @@ CTES |= {
       select *, cast(churn_probability > 0.5e0 as integer) as prediction from (
         select *, cast(customer_id * 37 % 101 as double) / 1e2 as churn_probability,
           cast(customer_id % 4 as integer) as cluster from features)""",
+    "judged": """
+      select s.*, case when churn_probability > 0 and churn_probability <= 0.3e0 then 'Low'
+          when churn_probability > 0.3e0 and churn_probability <= 0.6e0 then 'Medium'
+          when churn_probability > 0.6e0 and churn_probability <= 1 then 'High' end as churn_risk,
+        ['Champions', 'Loyal', 'At Risk', 'Dormant'][place] as ml_segment
+      from stand_in s join (
+        select cluster, row_number() over (order by sum(monetary) / count(monetary) desc nulls last, cluster) as place
+        from stand_in group by cluster) using (cluster)""",
+    "scaled": f"""
+      select customer_id, (v1 - avg(v1) over ()) / stddev_pop(v1) over () as z1,
+        (v2 - avg(v2) over ()) / stddev_pop(v2) over () as z2, (v3 - avg(v3) over ()) / stddev_pop(v3) over () as z3
+      from (select customer_id, {dbl('recency_days')} as v1, {dbl('frequency')} as v2, {dbl('monetary')} as v3
+        from metrics where rfm_segment is not null)""",
+    "nearest": f"""
+      select customer_id, z1, z2, z3, arg_min(c, d) as cluster, min(d) as d from (
+        select customer_id, z1, z2, z3, c, (z1 - a1) * (z1 - a1) + (z2 - a2) * (z2 - a2) + (z3 - a3) * (z3 - a3) as d
+        from scaled, (values {_CENTRES}) as centres(c, a1, a2, a3)) group by all""",
     "series": """
       select *, cast(month(period) as integer) as month_num,
         sin(2e0 * pi() * month(period) / 12e0) as sin_month, cos(2e0 * pi() * month(period) / 12e0) as cos_month
@@ -171,6 +190,9 @@ NEEDS: dict[str, tuple[str, ...]] = {
     "lines": ("raw_order_items", "raw_products", "raw_orders"),
     "features": ("metrics",),
     "stand_in": ("features",),
+    "judged": ("stand_in",),
+    "scaled": ("metrics",),
+    "nearest": ("scaled",),
     "series": ("fct_orders",),
     "train": ("series",),
     "fit1": ("train",),
@@ -266,6 +288,8 @@ _SPREAD = f"""
   from (select rfm_segment, count(*) as customers, quantile_cont({dbl('monetary')}, {QUARTILES}) as q
     from metrics where rfm_segment is not null group by 1)"""
 
+_CHURN_SPREAD = _SPREAD.replace(dbl("monetary"), "churn_probability").replace("metrics where", "judged where").replace(", 4)", ", 9)")
+
 _SPLIT = """
   select customer_id, churned, rn <= (2 * n + 5) // 10 as is_test from (
     select customer_id, churned, count(*) over (partition by churned) as n,
@@ -503,6 +527,28 @@ ORACLE: dict[str, str] = {
         {mean('sum(recency_days)', 'count(recency_days)', 0, 1)} as avg_recency,
         {mean('sum(frequency)', 'count(frequency)', 0, 1)} as avg_frequency, {_MONEY_MEAN} as avg_spend,
         {ratio('sum(monetary)', 'count(monetary)')} as m from stand_in group by 1)""",
+    "kmeans_nearest": _with("nearest")
+    + "select customer_id, cast(cluster as integer) as cluster, round(d, 6) + 0e0 as squared_distance from nearest",
+    "kmeans_step": _with("nearest")
+    + """select cast(cluster as integer) as cluster, count(*) as customers, round(sum(d), 6) as cost,
+      round(avg(z1), 6) + 0e0 as z_recency_days, round(avg(z2), 6) + 0e0 as z_frequency, round(avg(z3), 6) + 0e0 as z_monetary
+      from nearest group by 1""",
+    "churn_kpis_fixed": _with("judged")
+    + f"""select count(*) filter (churn_risk = 'High') as high_risk,
+      {ratio("count(*) filter (churn_risk = 'High')", 'count(*)', '100e0')} as high_risk_percent,
+      count(*) filter (ml_segment = 'Champions') as champions,
+      {ratio("count(*) filter (ml_segment = 'Champions')", 'count(*)', '100e0')} as champions_percent,
+      round(avg(churn_probability), 9) as avg_churn_probability,
+      case when avg(churn_probability) > 0.5e0 then 'High' when avg(churn_probability) > 0.3e0 then 'Moderate' else 'Low' end
+        as churn_status from judged""",
+    "churn_risk_distribution_fixed": _with("judged") + _counts("judged", "churn_risk", "customers"),
+    "ml_segment_distribution_fixed": _with("judged") + _counts("judged", "ml_segment", "customers"),
+    "churn_spread_by_segment_fixed": _with("judged") + _CHURN_SPREAD,
+    "top_churn_fixed": _with("judged")
+    + f"""select customer_id, rfm_segment, recency_days, frequency, {dbl('monetary')} as monetary, churn_probability
+      from judged order by churn_probability desc, customer_id limit 20""",
+    "customer_insights_fixed": _with("judged")
+    + "select customer_id, churn_probability, prediction, churn_risk, cluster, ml_segment from judged",
     "scaled_features": _with("metrics")
     + "select customer_id, "
     + ", ".join(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from basketry.functions import rules
 from basketry.operators import quality
+from basketry.operators.clustering import best_runs
 from basketry.operators.dedup import any_per_key
 from basketry.plans import churn, facts, forecast, reports, rfm, segments, staging, warehouse
 from basketry.session import materialise, tune
@@ -88,6 +89,12 @@ class Shop:
         )
         return scored.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("int"))
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """The stand-in with risk bands and named clusters, as the customer insights have them."""
+        risk = rules.churn_risk(F.col("churn_probability"))
+        return segments.label_clusters(self.stand_in.withColumn("churn_risk", risk))
+
     @cached_property
     def series(self) -> DataFrame:
         return materialise(forecast.monthly_series(self.facts))[0]
@@ -453,6 +460,58 @@ def cluster_profile(shop: Shop) -> DataFrame:
     return segments.cluster_profile(shop.stand_in)
 
 
+# Standardised centres, near which no customer is equally far from two.
+CENTRES = ((-0.71, 0.83, 0.91), (0.13, 0.07, -0.11), (1.53, -1.09, -0.97), (-0.59, -0.67, -0.53))
+
+
+@query
+def kmeans_nearest(shop: Shop) -> DataFrame:
+    """Nearest of fixed centres."""
+    found = segments.nearest(segments.scored_customers(shop.metrics), CENTRES)
+    return rounded(found.select("customer_id", "cluster", "squared_distance"), 6, "squared_distance")
+
+
+@query
+def kmeans_step(shop: Shop) -> DataFrame:
+    """One step from fixed centres: where they move to."""
+    points = segments.blocks(segments.scored_customers(shop.metrics))
+    moved = segments.lloyd_step(points, CENTRES)
+    points.close()
+    spread = moved.select("cluster", "customers", "cost", *(F.col("centre")[i].alias(f"z_{c}") for i, c in enumerate(segments.COLUMNS)))
+    return rounded(spread, 6, "cost", *(f"z_{c}" for c in segments.COLUMNS))
+
+
+@query
+def churn_kpis_fixed(shop: Shop) -> DataFrame:
+    return rounded(churn.churn_kpis(shop.judged), 9, "avg_churn_probability")
+
+
+@query
+def churn_risk_distribution_fixed(shop: Shop) -> DataFrame:
+    return churn.risk_distribution(shop.judged)
+
+
+@query
+def ml_segment_distribution_fixed(shop: Shop) -> DataFrame:
+    return churn.ml_segment_distribution(shop.judged)
+
+
+@query
+def churn_spread_by_segment_fixed(shop: Shop) -> DataFrame:
+    return rounded(reports.spread_by_segment(shop.judged, "churn_probability"), 9, *reports.FIVE_NUMBERS)
+
+
+@query
+def top_churn_fixed(shop: Shop) -> DataFrame:
+    return churn.top_churn(shop.judged)
+
+
+@query
+def customer_insights_fixed(shop: Shop) -> DataFrame:
+    columns = ["customer_id", "churn_probability", "prediction", "churn_risk", "cluster", "ml_segment"]
+    return shop.judged.select(*columns)
+
+
 @query
 def scaled_features(shop: Shop) -> DataFrame:
     names = [f"z_{c}" for c in segments.COLUMNS]
@@ -466,8 +525,8 @@ _FITTED: dict[tuple[str, str], dict] = {}
 
 def forget_models() -> None:
     for kept in _FITTED.values():
-        if "vectors" in kept:
-            kept["vectors"].unpersist()
+        if "blocks" in kept:
+            kept["blocks"].close()
     _FITTED.clear()
 
 
@@ -490,18 +549,18 @@ def _holdout(shop: Shop) -> dict:
     return kept
 
 
-def _vectors(shop: Shop) -> DataFrame:
+def _blocks(shop: Shop):
     kept = _fitted(shop)
-    if "vectors" not in kept:
-        kept["vectors"] = segments.vectors(kept["features"]).persist()
-    return kept["vectors"]
+    if "blocks" not in kept:
+        kept["blocks"] = segments.blocks(kept["features"])
+    return kept["blocks"]
 
 
 def _clustered(shop: Shop) -> DataFrame:
     kept = _fitted(shop)
     if "clustered" not in kept:
-        model = segments.best_kmeans(_vectors(shop), [4])[4]
-        assigned = segments.label_clusters(segments.assign(model, _vectors(shop)))
+        run = best_runs(_blocks(shop), [4])[4]
+        assigned = segments.label_clusters(segments.nearest(kept["features"], run.centres))
         columns = ["customer_id", *segments.COLUMNS, "cluster", "ml_segment"]
         kept["clustered"] = materialise(assigned.select(*columns))[0]
     return kept["clustered"]
@@ -588,7 +647,7 @@ def top_churn(shop: Shop) -> DataFrame:
 
 @query
 def kmeans_sweep(shop: Shop) -> DataFrame:
-    return segments.kmeans_sweep(_vectors(shop))
+    return segments.kmeans_sweep(_blocks(shop))
 
 
 @query

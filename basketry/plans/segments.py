@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
 from basketry.functions.exact import plain_ratio, rounded_mean, units
+from basketry.operators.clustering import Blocks, best_runs, nearest_centre, silhouettes, step
 from basketry.session import small_side
 
 COLUMNS = ("recency_days", "frequency", "monetary")
@@ -67,14 +68,35 @@ def best_kmeans(
     return best
 
 
-def kmeans_sweep(data: DataFrame, ks: Iterable[int] = range(2, 9), restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Cost and silhouette per number of clusters. The silhouette uses squared Euclidean distances."""
-    evaluator = ClusteringEvaluator()
-    rows = [
-        (k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(data))))
-        for k, model in best_kmeans(data, ks, restarts, seed).items()
-    ]
-    return data.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double").orderBy("k")
+def blocks(customers: DataFrame, columns: Sequence[str] = COLUMNS) -> Blocks:
+    """Standardised customers packed for many clusterings at once; close it when done."""
+    names = [f"z_{c}" for c in columns]
+    return Blocks(standardise(customers, columns).select(*names), names)
+
+
+def kmeans_sweep(points: Blocks, ks: Iterable[int] = range(2, 9), restarts: int = 10, seed: int = 42) -> DataFrame:
+    """Cost and silhouette of the best of several runs per number of clusters; all runs share their scans.
+
+    The silhouette uses squared Euclidean distances.
+    """
+    best = best_runs(points, list(ks), restarts, seed)
+    rated = silhouettes(points, [run.centres for run in best.values()])
+    rows = [(k, float(run.cost), value) for (k, run), value in zip(best.items(), rated, strict=True)]
+    return points.scan.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double").orderBy("k")
+
+
+def nearest(customers: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str] = COLUMNS) -> DataFrame:
+    """Customers with the number of the nearest of the (standardised) centres and the squared distance to it."""
+    scaled = standardise(customers, columns)
+    number, squared = nearest_centre([F.col(f"z_{c}") for c in columns], centres)
+    return scaled.withColumns({"cluster": number, "squared_distance": squared}).drop(*(f"z_{c}" for c in columns))
+
+
+def lloyd_step(points: Blocks, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """Per cluster around `centres` that has points: how many, their squared distances, and the centre they move to."""
+    found = step(points, [np.array(centres, dtype=float)])
+    rows = [(c, many, float(cost), [float(x) for x in sums / many]) for (_, c), (many, cost, sums) in sorted(found.items())]
+    return points.scan.sparkSession.createDataFrame(rows, "cluster int, customers long, cost double, centre array<double>")
 
 
 def assign(model: KMeansModel, data: DataFrame) -> DataFrame:
