@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import rules
 from basketry.functions.exact import plain_ratio
+from basketry.operators import forest
 from basketry.operators.distribution import value_counts
+from basketry.operators.forest import Forest
 from basketry.operators.ranking import lowest_share, totalled
 
 FEATURES = ("recency_days", "frequency", "monetary", "r_score", "f_score", "m_score")
@@ -40,12 +39,6 @@ def stratified_split(
     return marked.drop("_draw")
 
 
-def _assemble(features: DataFrame, columns: Sequence[str]) -> DataFrame:
-    doubles = features.withColumns({f"_{c}": F.col(c).cast("double") for c in columns})
-    assembled = VectorAssembler(inputCols=[f"_{c}" for c in columns], outputCol="features").transform(doubles)
-    return assembled.drop(*(f"_{c}" for c in columns))
-
-
 def fit_forest(
     train: DataFrame,
     columns: Sequence[str] = FEATURES,
@@ -53,51 +46,25 @@ def fit_forest(
     depth: int = 6,
     min_leaf: int = 5,
     seed: int = 42,
-    partitions: int = 32,
-) -> RandomForestClassificationModel:
-    """The forest; name more `partitions` for larger tables, each is one task of every level of the trees."""
-    forest = RandomForestClassifier(
-        labelCol="churned",
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-    )
-    data = _assemble(train, columns).select(
-        "features", F.col("churned").cast("double").alias("churned"), F.col("customer_id").alias("_id")
-    )
-    # Bagging is drawn per partition, in order: rows are dealt and sorted by their own hash, so that the forest depends on
-    # the rows and `partitions` alone, not on the cores.
-    data = data.withColumn("_deal", F.xxhash64(*(F.col(c) for c in ("_id", "churned"))))
-    data = data.repartition(partitions, "_deal").sortWithinPartitions("_deal", "_id").drop("_deal", "_id").persist()
-    try:
-        # The copy leaves the training summary behind: it holds the session, which tasks cannot receive.
-        return forest.fit(data).copy()
-    finally:
-        data.unpersist()
-
-
-def churn_scores(
-    model: RandomForestClassificationModel, features: DataFrame, columns: Sequence[str] = FEATURES
-) -> DataFrame:
-    """Predicted class, churn probability and risk band of every customer."""
-    scored = model.transform(_assemble(features, columns))
-    scored = scored.withColumns(
+) -> Forest:
+    """The forest; it follows from the customers and the seed, not from how they are partitioned."""
+    return forest.fit(train, columns, F.col("churned"), F.col("customer_id"), trees, depth, min_leaf, seed)
+
+
+def churn_scores(model: Forest, features: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Predicted class, churn probability and risk band of every customer; the model knows its columns."""
+    scored = model.score(features, "churn_probability")
+    return scored.withColumns(
         {
-            "churn_probability": vector_to_array("probability")[1],
-            "prediction": F.col("prediction").cast("int"),
+            "prediction": (F.col("churn_probability") > 0.5).cast("int"),
+            "churn_risk": rules.churn_risk(F.col("churn_probability")),
         }
     )
-    scored = scored.withColumn("churn_risk", rules.churn_risk(F.col("churn_probability")))
-    return scored.drop("features", "rawPrediction", "probability")
 
 
-def feature_importance(
-    model: RandomForestClassificationModel, like: DataFrame, columns: Sequence[str] = FEATURES
-) -> DataFrame:
+def feature_importance(model: Forest, like: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """One row per feature, most important first."""
-    rows = [(c, float(v)) for c, v in zip(columns, model.featureImportances.toArray())]
+    rows = [(c, float(v)) for c, v in zip(model.columns, model.importances(), strict=True)]
     table = like.sparkSession.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
 
