@@ -362,6 +362,16 @@ ORACLE: dict[str, str] = {
     + """select order_id, order_dow + 1 as dow_sunday1, order_dow as dow_sunday0,
       cast(isodow(order_date) - 1 as integer) as dow_monday0 from stg_orders""",
     "fct_orders": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
+    "fct_orders_maintained": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
+    "fct_orders_versions": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
+    "customers_by_month": _with("fct_orders")
+    + """select order_year, order_month, count(distinct customer_id) as unique_customers
+      from fct_orders where status = 'completed' group by all""",
+    "customers_by_year": _with("fct_orders")
+    + "select order_year, count(distinct customer_id) as unique_customers from fct_orders where status = 'completed' group by all",
+    "customers_in_years": _with("fct_orders")
+    + """select count(distinct customer_id) as unique_customers
+      from fct_orders where status = 'completed' and order_year in (1996, 1998)""",
     "fct_orders_raw_margin": _with("stg_orders", "raw_order_items", "raw_products")
     + f"""select o.order_id, {mean('sum(p.u)', 'count(p.u)', 12, 4)} as avg_margin
       from stg_orders o left join raw_order_items i on o.order_id = i.order_id

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -13,9 +14,11 @@ from basketry.functions import rules
 from basketry.operators import quality
 from basketry.operators.clustering import best_runs
 from basketry.operators.dedup import any_per_key
-from basketry.plans import churn, facts, forecast, reports, rfm, segments, staging, warehouse
-from basketry.session import materialise, tune
+from basketry.plans import churn, facts, forecast, maintenance, reports, rfm, segments, staging, warehouse
+from basketry.session import materialise, shared_folder, tune
 from basketry.sources.sample_tables import raw_table
+from basketry.sources.versioned import VersionedTable
+from basketry.store import Memo
 
 YEARS = (1996, 1998)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,6 +212,56 @@ def mart_orders_any_copies(shop: Shop) -> DataFrame:
     return facts.mart_orders(shop.orders, shop.customers, shop.items, shop.products)
 
 
+def _at(shop: Shop) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(shop.spark)}/{shop.spark.sparkContext.applicationId}/kept-{uuid.uuid4().hex}"
+
+
+@query
+def fct_orders_maintained(shop: Shop) -> DataFrame:
+    """Order facts from totals that started from other lines and were changed twice: a third of the lines came later, another third
+    had other prices, and some lines went."""
+    items, third = shop.raw("order_items"), F.pmod(F.xxhash64("order_id", "product_id", "item_id", "line_total"), F.lit(3))
+    nothing = items.limit(0)
+    wrong = items.where(third == 1).withColumn("line_total", (F.col("line_total") + 1).cast("decimal(18,2)"))
+    extra = items.where(third == 2).withColumn("order_id", F.col("order_id") + 1)
+    totals = maintenance.LineTotals(shop.spark, _at(shop), buckets=8)
+    totals.rebuild(items.where(third == 2).unionByName(wrong).unionByName(extra), shop.products)
+    totals.apply(items.where(third == 0), extra, shop.products)
+    totals.apply(items.where(third == 1), wrong, shop.products)
+    totals.apply(nothing, nothing, shop.products)
+    orders = staging.stg_orders(shop.raw("orders"), weekday=rules.dow_sunday1)
+    return maintenance.order_facts(orders, totals.state())
+
+
+@query
+def fct_orders_versions(shop: Shop) -> DataFrame:
+    """Order facts read from a versioned table of which some months were replaced after a first, wrong version."""
+    table, by = VersionedTable(shop.spark, _at(shop)), ["order_year", "order_month"]
+    late = F.col("order_year") >= YEARS[0]
+    table.write(shop.facts.withColumn("num_items", F.when(late, F.lit(-1).cast("bigint")).otherwise(F.col("num_items"))), by)
+    table.write(shop.facts.where(late), by, only_touched=True)
+    return table.read().select(*shop.facts.columns)
+
+
+@query
+def customers_by_month(shop: Shop) -> DataFrame:
+    """Different customers per month, from sets kept per month."""
+    return maintenance.customers_in(maintenance.monthly_customers(shop.facts), groups=["order_year", "order_month"])
+
+
+@query
+def customers_by_year(shop: Shop) -> DataFrame:
+    """Different customers per year, as unions of the months' sets."""
+    return maintenance.customers_in(maintenance.monthly_customers(shop.facts), groups=["order_year"])
+
+
+@query
+def customers_in_years(shop: Shop) -> DataFrame:
+    """Different customers in a choice of years, as a union of months."""
+    return maintenance.customers_in(maintenance.monthly_customers(shop.facts), YEARS)
+
+
 @query
 def revenue_reconciliation(shop: Shop) -> DataFrame:
     return facts.revenue_reconciliation(shop.raw("orders"), shop.raw("order_items"))
@@ -519,97 +572,102 @@ def scaled_features(shop: Shop) -> DataFrame:
     return rounded(scaled.select("customer_id", *names), 6, *names)
 
 
-# Fitted models are kept per application and folder, as the reports on them share one training.
-_FITTED: dict[tuple[str, str], dict] = {}
+# Fitted models and their tables are kept by the content they were fitted to, as the reports on them share one training.
+_MEMOS: dict[str, Memo] = {}
 
 
 def forget_models() -> None:
-    for kept in _FITTED.values():
-        if "blocks" in kept:
-            kept["blocks"].close()
-    _FITTED.clear()
+    for memo in _MEMOS.values():
+        memo.close()
+    _MEMOS.clear()
+
+
+def _kept(shop: Shop, name: str, build: Callable[[], object]):
+    application = shop.spark.sparkContext.applicationId
+    if application not in _MEMOS:
+        _MEMOS[application] = Memo(shop.spark)
+    return _MEMOS[application].get(name, (shop.raw("customers"), shop.raw("orders")), build)
+
+
+def _features(shop: Shop) -> DataFrame:
+    return _kept(shop, "features", lambda: shop.features)
 
 
-def _fitted(shop: Shop) -> dict:
-    kept = _FITTED.setdefault((shop.spark.sparkContext.applicationId, shop.folder), {})
-    if "features" not in kept:
-        kept["features"] = materialise(shop.features)[0]
-    return kept
+def _split(shop: Shop) -> DataFrame:
+    return _kept(shop, "split", lambda: churn.stratified_split(_features(shop)))
 
 
-def _holdout(shop: Shop) -> dict:
-    """A forest trained on four fifths of the customers, scores of the rest, and scores of everyone."""
-    kept = _fitted(shop)
-    if "forest" not in kept:
-        split = churn.stratified_split(kept["features"])
-        forest = churn.fit_forest(split.where("NOT is_test"))
-        kept["tested"] = materialise(churn.churn_scores(forest, split.where("is_test")))[0]
-        kept["scores"] = materialise(churn.churn_scores(forest, kept["features"]))[0]
-        kept["forest"] = forest
-    return kept
+def _forest(shop: Shop):
+    """Trained on four fifths of the customers."""
+    return _kept(shop, "forest", lambda: churn.fit_forest(_split(shop).where("NOT is_test")))
+
+
+def _judged(shop: Shop) -> DataFrame:
+    """Everyone's scores by that forest, once, and who was held out."""
+    return _kept(shop, "judged", lambda: churn.churn_scores(_forest(shop), _split(shop)))
+
+
+def _tested(shop: Shop) -> DataFrame:
+    return _judged(shop).where("is_test")
 
 
 def _blocks(shop: Shop):
-    kept = _fitted(shop)
-    if "blocks" not in kept:
-        kept["blocks"] = segments.blocks(kept["features"])
-    return kept["blocks"]
+    return _kept(shop, "blocks", lambda: segments.blocks(_features(shop)))
 
 
 def _clustered(shop: Shop) -> DataFrame:
-    kept = _fitted(shop)
-    if "clustered" not in kept:
+    def build() -> DataFrame:
         run = best_runs(_blocks(shop), [4])[4]
-        assigned = segments.label_clusters(segments.nearest(kept["features"], run.centres))
-        columns = ["customer_id", *segments.COLUMNS, "cluster", "ml_segment"]
-        kept["clustered"] = materialise(assigned.select(*columns))[0]
-    return kept["clustered"]
+        assigned = segments.label_clusters(segments.nearest(_features(shop), run.centres))
+        return assigned.select("customer_id", *segments.COLUMNS, "cluster", "ml_segment")
+
+    return _kept(shop, "clustered", build)
 
 
 def _customer_insights(shop: Shop) -> DataFrame:
     """Everyone scored by a forest trained on everyone, with cluster segments."""
-    kept = _fitted(shop)
-    if "insights" not in kept:
-        forest = churn.fit_forest(kept["features"], min_leaf=1)
+
+    def build() -> DataFrame:
+        forest = churn.fit_forest(_features(shop), min_leaf=1)
         named = _clustered(shop).select("customer_id", "cluster", "ml_segment")
-        kept["insights"] = materialise(churn.churn_scores(forest, kept["features"]).join(named, "customer_id"))[0]
-    return kept["insights"]
+        return churn.churn_scores(forest, _features(shop)).join(named, "customer_id")
+
+    return _kept(shop, "insights", build)
 
 
 @query
 def churn_scores(shop: Shop) -> DataFrame:
-    return _holdout(shop)["scores"]
+    return _judged(shop).drop("is_test")
 
 
 @query
 def churn_holdout_confusion(shop: Shop) -> DataFrame:
-    return churn.confusion_matrix(_holdout(shop)["tested"])
+    return churn.confusion_matrix(_tested(shop))
 
 
 @query
 def churn_holdout_report(shop: Shop) -> DataFrame:
-    return churn.classification_report(_holdout(shop)["tested"])
+    return churn.classification_report(_tested(shop))
 
 
 @query
 def churn_holdout_auc(shop: Shop) -> DataFrame:
-    return churn.roc_auc(_holdout(shop)["tested"])
+    return churn.roc_auc(_tested(shop))
 
 
 @query
 def churn_holdout_roc(shop: Shop) -> DataFrame:
-    return churn.roc_curve(_holdout(shop)["tested"])
+    return churn.roc_curve(_tested(shop))
 
 
 @query
 def feature_importance(shop: Shop) -> DataFrame:
-    kept = _holdout(shop)
-    return churn.feature_importance(kept["forest"], kept["features"])
+    return churn.feature_importance(_forest(shop), _features(shop))
 
 
 @query
 def top_churn_holdout(shop: Shop) -> DataFrame:
-    return churn.top_churn(_holdout(shop)["scores"], 10)
+    return churn.top_churn(_judged(shop), 10)
 
 
 @query

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.session import materialise
+from basketry.store import discard
 
 BLOCK = 256  # points
 PICKS = 2  # per round, times the number of clusters
@@ -52,7 +53,6 @@ class Blocks:
         least, most = (F.array(*(f(F.col("point")[i]) for i in range(self.dims))) for f in (F.min, F.max))
         self.rows, self.least, self.most = rows.agg(F.count(F.lit(1)), least, most).first()
         self.scan = self._packed(rows) if self.rows else rows
-        self.spread = 1.0
 
     def _packed(self, rows: DataFrame) -> DataFrame:
         least, width = np.array(self.least), np.maximum(np.array(self.most) - np.array(self.least), 1e-300)
@@ -90,10 +90,14 @@ class Blocks:
         curve = materialise(curve)[0]
         laid = curve.repartitionByRange("key", "salt").sortWithinPartitions("key", "salt").select("point")
         kept = materialise(laid.mapInArrow(packed, "flat array<double>").withColumn("block", F.monotonically_increasing_id()))[0]
+        discard(curve)
         return kept.persist()
 
     def close(self) -> None:
-        self.scan.unpersist()
+        """Forget the blocks; nothing can be read from them any more."""
+        if self.rows:
+            self.scan.unpersist()
+            discard(self.scan)
 
     def each(self, work: Callable[[Iterator[Block]], Iterator[list[tuple]]], kinds: str) -> DataFrame:
         """Rows that `work` gives for the blocks of a task."""

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from basketry.operators.selection import values_at
 from basketry.session import materialise
+from basketry.store import discard
 
 BINS = 32
 # Chance of a Poisson variable of mean 1 to be at most 0, 1, 2, ...
@@ -162,6 +163,7 @@ def fit(
                 break
     finally:
         kept.unpersist()
+        discard(rows)
     return forest
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.session import materialise, small_side
+from basketry.store import discard
 
 ACCURACY = 10_000  # the sketch's rank error is at most rows / ACCURACY
 MARGIN = 2 / ACCURACY
@@ -88,12 +89,17 @@ def boundary_rows(df: DataFrame, orders: Mapping[str, Order], shares: Sequence[f
             spots.append(Spot(name, i, order, rank, *(_ends(values, i, share, MARGIN) if rows > FEW else ())))
     spots = [s for s in spots if 1 <= s.rank <= rows]
     kept, spots, size = _kept(df, spots, first=True)
+    order = _windowed
     while size > BOUND:
         narrower, after, smaller = _narrowed(kept, spots)
         if smaller == size and all(a.level == s.level for a, s in zip(after, spots, strict=True)):
-            return _ordered(kept, spots)
+            order = _ordered
+            break
+        discard(kept)
         kept, spots, size = narrower, after, smaller
-    return _windowed(kept, spots)
+    found_rows = order(kept, spots)
+    discard(kept)
+    return found_rows
 
 
 def _kept(df: DataFrame, spots: list[Spot], first: bool) -> tuple[DataFrame, list[Spot], int]:
@@ -131,6 +137,7 @@ def _kept(df: DataFrame, spots: list[Spot], first: bool) -> tuple[DataFrame, lis
         settled = counts[f"nulls{i}"] in (0, many) and counts[f"same{i}"] and spot.level + 1 < len(spot.order)
         after.append(replace(spot, rank=rank, level=spot.level + settled, skip=0 if settled else spot.skip))
     if failed:
+        discard(kept)
         wider = [replace(a, rank=s.rank, level=s.level) if a.low == -LAST and a.high == LAST else s for a, s in zip(after, spots, strict=True)]
         return _kept(df, wider, first)
     return kept, after, sum(counts[f"inside{i}"] for i in range(len(spots)))
@@ -222,6 +229,7 @@ def _resolved(df: DataFrame, group: str, order: Sequence[str], at: Column, brack
         *(F.count_if(h & F.col("_step").isNull()).alias(f"_missed{i}") for i, h in enumerate(holds)),
     )
     found = materialise(found)[0]
+    discard(steps)
     missed = sum((F.col(f"_missed{i}") for i in range(len(holds))), F.lit(0)) > 0
     if not found.where(missed).isEmpty():  # a sketch was further off than it says: those groups' brackets open
         opened = found.where(missed).select(F.col("_group").alias("_open"))
