@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from basketry.session import shared_folder
+from basketry.store import delete
 
 # The white space and the letters that the operators' contracts name.
 WHITE = " \t\n\x0b\x0c\r"
@@ -30,7 +31,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     more than the tasks it ran."""
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    table = df.sparkSession.read.schema(df.schema).parquet(folder)
+    table.written_to = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` gave, once all that was made from them is itself written."""
+    for table in tables:
+        delete(table.sparkSession, table.written_to)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:

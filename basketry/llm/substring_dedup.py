@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Words, attach, columns, list_column, mixed, small_batches, texts, written
+from basketry.llm.common import Words, attach, columns, discard, list_column, mixed, small_batches, texts, written
 
 WINDOW = 35
 ROWS = 500  # documents hashed at a time
@@ -146,7 +146,9 @@ def repeated_starts(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     found = attach(_repeated(half, "halves"), _roles(rows), "doc_id", "print")
     # Rows with a role keep none of their places: the role says that all of them are repeated.
     found = found.withColumn("halves", F.when(F.col("role").isNull(), F.col("halves")).otherwise(F.array().cast("array<int>")))
-    met = attach(rows, written(found, "repeated-halves"), "doc_id", "print")
+    found = written(found, "repeated-halves")
+    discard(half)  # as large as all other tables together
+    met = attach(rows, found, "doc_id", "print")
     some = met.where(F.col("halves").isNotNull())
     own = _places(some.where(F.col("role").isNull()), wholes)
     among = _places(some.where(F.col("role").isNull() | (F.col("role") == FIRST)), wholes)
