@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +21,14 @@ from pyspark.sql import functions as F
 from basketry.llm.common import written
 
 CANDIDATES, QUERIES, STEP = 16_384, 1_024, 16  # rows of a block, rows of a query block, dimensions added at a time
-FOUND = "query_id long, print long, vec_id long, score long"  # print: of the query's vector
+FOUND = "query_id long, vec_id long, score long"
 
 
 def integer_vectors(embeddings: DataFrame, scale: float = 64.0) -> DataFrame:
-    """(vec_id, vector): floor(scale * x) of every component; vectors null or with null or non-finite components go."""
+    """(vec_id, vector): floor(scale * x) of every component; vectors null or with null or non-finite components go.
+
+    An empty vector stays and scores 0 with other empty ones.
+    """
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
     rows = embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
     return rows.select(
@@ -46,7 +48,7 @@ class Block:
         self.columns = np.ascontiguousarray(vectors[:, self.order].T, dtype=np.float64 if exact else np.int64)
         after = np.cumsum(weight[:, self.order][:, ::-1], axis=1)[:, ::-1]
         self.cuts = list(range(0, len(self.order), STEP))
-        self.rest = [np.sqrt(after[:, c]) if c < len(self.order) else np.zeros(len(ids)) for c in [*self.cuts[1:], len(self.order)]]
+        self.rest = [np.sqrt(after[:, c + STEP]) if c + STEP < len(self.order) else np.zeros(len(ids)) for c in self.cuts]
 
     def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best other than the query's own id, ties to smaller ids."""
@@ -67,10 +69,15 @@ class Block:
         return self.ids[alive[first]], total[first].astype(np.int64)
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written with a number each, by which repeated ones spread over blocks."""
+    return written(rows.select("vec_id", "vector", F.monotonically_increasing_id().alias("number")), name)
+
+
 def _blocks(rows: DataFrame, size: int, salt: int) -> tuple[DataFrame, int]:
     """Rows packed into blocks of about `size`, all of one number of dimensions."""
     parts = max(1, math.ceil(rows.count() / size))
-    block: Column = F.pmod(F.xxhash64(F.lit(salt), "vec_id", "vector"), F.lit(parts)).cast("int")
+    block: Column = F.pmod(F.xxhash64(F.lit(salt), "number"), F.lit(parts)).cast("int")
     packed = rows.groupBy(F.size("vector").alias("dims"), block.alias("block")).agg(F.collect_list(F.struct("vec_id", "vector")).alias("rows"))
     return packed.select("dims", "block", F.col("rows.vec_id").alias("ids"), F.flatten("rows.vector").alias("flat")), parts
 
@@ -78,12 +85,12 @@ def _blocks(rows: DataFrame, size: int, salt: int) -> tuple[DataFrame, int]:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of every query with other ids, ties to smaller ids.
 
-    Both tables are (vec_id, vector of integers); equal rows count once. A query meets vectors of its own number of
-    dimensions. A query without any other vector has no rows; vec_ids that recur with different vectors are candidates
-    each, and queries each, under their one id. Scores are 64-bit.
+    Both tables are (vec_id, vector of integers). Every row is a candidate, repeated ones each, and a query meets vectors of its
+    own number of dimensions. Query rows of one id are one query: the best of all their pairs with candidates, each pair
+    for itself. A query without any other vector has no rows. Scores are 64-bit.
     """
-    candidates, parts = _blocks(written(vectors.distinct(), "vectors"), CANDIDATES, 1)
-    asked, _ = _blocks(queries.distinct(), QUERIES, 2)
+    candidates, parts = _blocks(_numbered(vectors, "vectors"), CANDIDATES, 1)
+    asked, _ = _blocks(_numbered(queries, "queries"), QUERIES, 2)
     asked = asked.select(
         "dims", F.col("ids").alias("query_ids"), F.col("flat").alias("query_flat"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")
     )
@@ -98,11 +105,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 block = Block(ids, flat.reshape(len(ids), dims), reach)
                 best = [block.best(query_id, query, k) for query_id, query in zip(q_ids, asked_for, strict=True)]
                 many = [len(found) for found, _ in best]
-                prints = [int.from_bytes(blake2b(query.tobytes(), digest_size=8).digest(), "little", signed=True) for query in asked_for]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "query_id": np.repeat(q_ids, many),
-                        "print": np.repeat(np.array(prints, dtype=np.int64), many),
                         "vec_id": np.concatenate([found for found, _ in best]),
                         "score": np.concatenate([scores for _, scores in best]),
                     }
@@ -110,6 +115,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     met = asked.join(candidates, ["dims", "block"]).select("dims", "query_ids", "query_flat", "ids", "flat")
     found = met.mapInArrow(search, FOUND)
-    along = Window.partitionBy("query_id", "print").orderBy(F.desc("score"), "vec_id")
+    along = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(along)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -114,19 +114,63 @@ def test_substrings_among_equal_texts(spark):
 
 
 def test_topk_is_exact_with_ties_and_odd_rows(spark):
+    """Also repeated rows: all are candidates, and query rows of one id are one query."""
     draw = np.random.default_rng(0)
     vectors = [(i, draw.normal(size=40).tolist()) for i in range(300)] + [(300, [0.5] * 40), (301, [0.5] * 40), (302, [0.5] * 40)]
-    odd = [(900, None), (901, [None] * 40), (902, [float("nan")] * 40), (None, [1.0] * 40), (903, [float("inf")] * 40), (980, [1.0, 2.0]), (0, vectors[0][1])]
-    table = topk.integer_vectors(spark.createDataFrame([*vectors, *odd], "vec_id long, embedding array<double>"))
+    vectors += [(0, vectors[0][1]), (7, vectors[7][1]), (40, vectors[1][1])]  # whole rows again, and an id with another vector
+    odd = [(900, None), (901, [None] * 40), (902, [float("nan")] * 40), (None, [1.0] * 40), (903, [float("inf")] * 40), (980, [1.0, 2.0])]
+    empty = [(1000, []), (1001, []), (1001, []), (1020, [])]
+    schema = "vec_id long, embedding array<double>, query_id string, ids int, block string"
+    table = topk.integer_vectors(spark.createDataFrame([(*r, "x", 1, "y") for r in [*vectors, *odd, *empty]], schema))
     found = topk.nearest(table, table.where("vec_id % 20 = 0"), k=7).collect()
-    whole = {i: np.floor(64 * np.array(v)).astype(int) for i, v in vectors}
+    whole = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vectors]
     for q in range(0, 303, 20):
-        best = sorted(((-int(whole[q] @ v), i) for i, v in whole.items() if i != q))[:7]
-        assert [(-r["score"], r["vec_id"]) for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == best
+        best = sorted((-int(own @ v), i) for j, own in whole if j == q for i, v in whole if i != q)[:7]
+        own = sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [(-r["score"], r["vec_id"]) for r in own] == best and [r["rank"] for r in own] == [*range(1, 8)]
     assert not [r for r in found if r["query_id"] == 980]
+    assert [(r["vec_id"], r["score"]) for r in sorted((r for r in found if r["query_id"] == 1000), key=lambda r: r["rank"])] == [(1001, 0), (1001, 0), (1020, 0)]
     assert topk.nearest(table.limit(0), table.limit(0), k=3).count() == 0
 
 
+def test_topk_equals_its_sql_on_repeated_rows(spark):
+    import duckdb
+    import pandas as pd
+
+    from basketry.llm.oracle import ORACLE
+
+    draw = np.random.default_rng(4)
+    rows = [(i % 70, draw.normal(size=6).astype(np.float32).tolist()) for i in range(90)]
+    rows += rows[:30]
+    embeddings = pd.DataFrame({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows]})
+    expected = duckdb.sql(ORACLE["op2_exact_topk"]).fetchall()
+    table = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert len(embeddings) and sorted(map(tuple, topk.nearest(table, table.where("vec_id % 20 = 0"), k=20).collect())) == sorted(expected)
+
+
+ARTICLE = "<article><p>" + "A sentence of the article with enough words. " * 8 + "</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    ["<![foo[bar]]>", "<![if !IE]>", "<![", "<![CDATA[x]]>", "<!-- no end ", "<!-- no end > ", "<nav><ul><li><a href=/>menu</a>", "<!doctype", "<?php x", "<!-", "&#xZZ;", "<a <b <c"],
+)
+def test_broken_markup_before_an_article_ends_no_job(before):
+    for page in (f"<html><body>{before}{ARTICLE}</body></html>", f"<body>{ARTICLE}{before}", before, before * 50 + ARTICLE):
+        blocks = html_text.main_blocks(page)
+        assert not any("<" in block or "article>" in block for block in blocks if "A sentence" in block)
+    for wrapped in ("<![foo[bar]]>", "<![if !IE]>", "<!-- no end > ", "<nav><ul><li><a href=/>menu</a>"):
+        assert html_text.main_blocks(f"<html><body>{wrapped}{ARTICLE}</body></html>") == [("A sentence of the article with enough words. " * 8).strip()]
+
+
+def test_many_unclosed_comments_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert html_text.main_blocks(ARTICLE + "<!-- <p> x" * 20_000)[0].startswith("A sentence")
+    assert time.perf_counter() - start < 5
+
+
 def test_packing_and_files(spark, docs, none):
     pieces = packing.pack(docs, tokenizer_path(), end_id=0, capacity=64).collect()
     assert sum(p["length"] for p in pieces if p["doc_id"] in (4, 5)) == 2
