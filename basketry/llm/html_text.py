@@ -59,6 +59,9 @@ NAMES = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+UNCLOSED = re.compile(r"<!--[^>]*>?")
+
+
 class Line:
     __slots__ = ("inside", "linked", "parts", "tags", "text")
 
@@ -149,6 +152,11 @@ class PageLines(HTMLParser):
         self.line.tags += 1
         if tag in VOID:
             return
+        if self.silent and tag in ("article", "main"):  # no menu holds one: it was not closed
+            menu = next((depth for depth, (name, *_) in enumerate(self.open) if name == "nav"), None)
+            if menu is not None:
+                self._pop(menu)
+                self._next_line()
         silences = bool(attrs or tag in SILENT or tag == "header") and self._surrounds(tag, attrs)
         named = self._named(tag, attrs) if attrs and not silences else None
         mark = region = 0
@@ -195,7 +203,18 @@ class PageLines(HTMLParser):
     def updatepos(self, i, j):
         return j  # no one asks for line numbers
 
+    def parse_marked_section(self, i, report=1):
+        """A marked section of a kind that the parser does not know ends with its first `>`."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
+
     def finish(self) -> list[Line]:
+        """The lines; comments that nothing closes end with their first `>`, and the page goes on after it."""
+        if self.rawdata.startswith("<!--"):
+            rest, self.rawdata = UNCLOSED.sub("", self.rawdata), ""
+            self.feed(rest)
         self.close()
         self._next_line()
         return self.lines
@@ -303,7 +322,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     A null or empty page, and one without an article, gives the empty text. Pages without an id or address are extracted
     like others, repeated rows give repeated results, an empty table gives no rows. Broken markup is read as far as the
-    parser gets; what is not closed ends with the page.
+    parser gets: unknown marked sections and comments that nothing closes end with their first `>`, a menu that is not closed
+    before the article ends there, anything else that is not closed ends with the page.
     """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
