@@ -364,6 +364,13 @@ ORACLE: dict[str, str] = {
     "fct_orders": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
     "fct_orders_maintained": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
     "fct_orders_versions": _with("fct_orders") + "select * exclude (exact_total) from fct_orders",
+    "overview_kpis_pruned": _with("fct_orders") + _overview("order_year in (1996, 1998)"),
+    "product_revenue_spread": _with("raw_order_items", "raw_products")
+    + f"""select i.product_id, category, count(*) as lines, {dbl('sum(line_total)')} as revenue
+      from raw_order_items i left join raw_products p on i.product_id = p.product_id group by 1, 2""",
+    "customer_orders_spread": _with("stg_orders", "dim_customers")
+    + """select order_id, o.customer_id, status, full_name, segment
+      from stg_orders o left join dim_customers c on o.customer_id = c.customer_id""",
     "customers_by_month": _with("fct_orders")
     + """select order_year, order_month, count(distinct customer_id) as unique_customers
       from fct_orders where status = 'completed' group by all""",

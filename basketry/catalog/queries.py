@@ -14,8 +14,10 @@ from basketry.functions import rules
 from basketry.operators import quality
 from basketry.operators.clustering import best_runs
 from basketry.operators.dedup import any_per_key
+from basketry.operators.skew import spread_join
 from basketry.plans import churn, facts, forecast, maintenance, reports, rfm, segments, staging, warehouse
 from basketry.session import materialise, shared_folder, tune
+from basketry.sources.ranged import RangedTable
 from basketry.sources.sample_tables import raw_table
 from basketry.sources.versioned import VersionedTable
 from basketry.store import Memo
@@ -244,6 +246,28 @@ def fct_orders_versions(shop: Shop) -> DataFrame:
     return table.read().select(*shop.facts.columns)
 
 
+@query
+def overview_kpis_pruned(shop: Shop) -> DataFrame:
+    """The figures of some years from facts laid out by year and customer, of which only the files of those years are read."""
+    table, columns = RangedTable(shop.spark, _at(shop)), ["order_year", "customer_id"]
+    table.write(shop.facts, columns, files=32)
+    return reports.overview_kpis(table.read(shop.facts.schema, {"order_year": list(YEARS)}))
+
+
+@query
+def product_revenue_spread(shop: Shop) -> DataFrame:
+    """Lines and revenue per product, joined with heavy products spread and orders' customers spread."""
+    lines = spread_join(shop.raw("order_items").select("order_id", "product_id", "line_total"), shop.raw("products").select("product_id", "category"), "product_id", "left")
+    return lines.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").alias("revenue"))
+
+
+@query
+def customer_orders_spread(shop: Shop) -> DataFrame:
+    """Orders with their customer's segment, heavy customers spread."""
+    orders = shop.orders.select("order_id", "customer_id", "status")
+    return spread_join(orders, shop.customers.select("customer_id", "full_name", "segment"), "customer_id", "left")
+
+
 @query
 def customers_by_month(shop: Shop) -> DataFrame:
     """Different customers per month, from sets kept per month."""
