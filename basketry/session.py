@@ -15,10 +15,14 @@ ADAPTIVE = {
 }
 
 
+ZONE = "UTC"  # event times have no zone of their own; hours and days must not follow the machine's
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings to a running session."""
+    """Apply the adaptive settings and the time zone to a running session."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
+    spark.conf.set("spark.sql.session.timeZone", ZONE)
     return spark
 
 
@@ -43,10 +47,16 @@ def local_session(cores: int | str = "*", app: str = "basketry", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate files: `spark.checkpoint.dir`, or where that is unset one beside the warehouse's tables.
 
-    Both are reached by every executor; a folder of one machine never is.
+    Both are reached by every executor; a folder of one machine never is. A warehouse on a machine's own disk is refused
+    on a cluster; a `spark.checkpoint.dir` is taken as it is, as a mounted folder may be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return warehouse.rstrip("/") + "/_intermediate"
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:

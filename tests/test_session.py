@@ -26,6 +26,28 @@ def test_unset_folder_lies_beside_the_tables(master):
     assert chosen == ["hdfs:///warehouse/_intermediate"]
 
 
+def test_a_machines_own_disk_is_refused_on_a_cluster():
+    session, _ = fake("spark://host")
+    values = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    session.conf.get = lambda name, default=None: values[name]
+    with pytest.raises(ValueError):
+        _ensure_checkpoint_dir(session)
+    session.sparkContext.master = "local[4]"
+    _ensure_checkpoint_dir(session)
+
+
+def test_events_do_not_follow_the_session_zone(spark):
+    from basketry.catalog.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    expected = sorted(map(tuple, QUERIES["fct_events"](spark, folder).collect()), key=repr)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert sorted(map(tuple, QUERIES["fct_events"](spark, folder).collect()), key=repr) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_existing_folder_is_kept():
     session, chosen = fake("spark://host", "hdfs:///shared", "hdfs:///shared/app")
     _ensure_checkpoint_dir(session)
