@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +29,7 @@ DIMENSIONS = 64
 SAMPLE = 2_000  # labelled documents of each class, at most
 NEIGHBOURS = 25
 BLOCK = 1_000  # documents in one matrix product
-FEATURES = "label int, terms array<int>, weights array<float>"
+FEATURES = "label int, terms array<int>, weights array<float>, print binary"
 
 SHAPES = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile(r"[^\W\d_X]+"), "x"), (re.compile(r"\d+"), "0"), (re.compile(r"([^\w\s])\1+"), r"\1+"))
 
@@ -95,10 +96,12 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        if not batch.num_rows:
+            continue
         terms, weights = zip(*map(term_weights, columns(batch, "text")[0]), strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), list_column(terms, pa.int32()), list_column(weights, pa.float32())], ["label", "terms", "weights"]
-        )
+        prints = [blake2b(np.asarray(t).tobytes() + np.asarray(w).tobytes(), digest_size=8).digest() for t, w in zip(terms, weights, strict=True)]
+        arrays = [batch.column("label"), list_column(terms, pa.int32()), list_column(weights, pa.float32()), pa.array(prints, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["label", "terms", "weights", "print"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, seed: int = 0) -> Model | None:
@@ -113,14 +116,20 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
     known = known.join(ids, "doc_id", "left_semi")
     chosen = [known.where(F.col("label") == c).orderBy(order, "doc_id").limit(sample) for c in (0, 1)]
     learned = texts(documents).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    rows = learned.select("label", "text").mapInArrow(_features, FEATURES).collect()
-    if not rows:
+    # As Arrow arrays: the sample's terms as Python objects would take as much of the driver again as all that follows.
+    rows = learned.select("label", "text").mapInArrow(_features, FEATURES).toArrow().combine_chunks()
+    many = rows.num_rows
+    if not many:
         return None
-    rows.sort(key=lambda r: (r["label"], r["terms"], r["weights"]))
-    dense = np.zeros((len(rows), TERMS), dtype=np.float32)
-    for i, row in enumerate(rows):
-        dense[i, row["terms"]] = row["weights"]
-    weights = np.log((1 + len(rows)) / (1 + np.count_nonzero(dense, axis=0))).astype(np.float32) + 1
+    known_labels, prints = rows.column("label").to_numpy(), rows.column("print").to_pylist()
+    order = sorted(range(many), key=lambda i: (known_labels[i], prints[i]))
+    dense = np.zeros((many, TERMS), dtype=np.float32)
+    terms, values = rows.column("terms"), rows.column("weights")
+    for i, at in enumerate(order):
+        dense[i, terms[at].values.to_numpy()] = values[at].values.to_numpy()
+    known_labels = known_labels[order].astype(np.float64)
+    del rows, terms, values
+    weights = np.log((1 + many) / (1 + np.count_nonzero(dense, axis=0))).astype(np.float32) + 1
     dense *= weights  # in place: this is the largest array of the driver
     dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
     draw = np.random.default_rng(seed).standard_normal((TERMS, DIMENSIONS + 16)).astype(np.float32)
@@ -128,7 +137,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
     for _ in range(4):  # power iterations sharpen the leading directions
         basis = np.linalg.qr(dense @ (dense.T @ basis))[0]
     axes = np.linalg.svd(basis.T @ dense, full_matrices=False)[2][:DIMENSIONS].T.copy()
-    return Model(weights, axes, unit(dense @ axes), np.array([r["label"] for r in rows], dtype=np.float64))
+    return Model(weights, axes, unit(dense @ axes), known_labels)
 
 
 def score(documents: DataFrame, model: Model | None, *keep: str | Column) -> DataFrame:
