@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.llm.common import counted, written
@@ -30,10 +30,17 @@ def components(links: DataFrame) -> DataFrame:
         moved = 1
         while moved:
             further = _follow(_follow(forest.withColumn("before", F.col("root")), "root", forest), "root", forest)
-            shorter, _ = counted(further, "hooks")
-            moved = shorter.where(F.col("before") != F.col("root")).count()
-            forest = shorter.drop("before")
+            seen = Observation()
+            forest = written(further.observe(seen, F.count_if(F.col("before") != F.col("root")).alias("moved")).drop("before"), "hooks")
+            moved = seen.get["moved"]
         found = written(_follow(found, "root", forest).union(forest), "roots")
         joined = _follow(_follow(edges, "a", forest), "b", forest).where(F.col("a") != F.col("b"))
         edges, left = counted(joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     return found
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`components` of `links` and of all those that gave `roots`, which are not read again: links are moved to the roots of
+    their ends, and what these join is followed by the nodes known before."""
+    joined = components(_follow(_follow(links, "a", roots), "b", roots))
+    return written(_follow(roots, "root", joined).union(joined), "roots")

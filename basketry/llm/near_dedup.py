@@ -12,7 +12,6 @@ shingles that only one of the two has; a pair is left out only if that bound alo
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import Words, attach, columns, counted, list_column, mixed, small_batches, texts, written
-from basketry.llm.components import components
+from basketry.llm.components import components, merged
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
@@ -141,7 +140,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     # Sets that share `percent` of their union have (100 - percent) of each (100 + percent) of their sizes' sum in one alone.
     alike = (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & ((100 + percent) * differing <= (100 - percent) * (F.col("n") + F.col("hub_n")))
     waiting, hubs_each = members.withColumn("root", F.col("node")), 1
-    links, tested, roots, rows = [], None, None, 1
+    tested, roots, rows = None, None, 1
     while rows:
         hubs = waiting.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs_each)
         hubs = written(hubs.select("key", *(F.col(c).alias(f"hub_{c}") for c in ("n", "weight", "bits", "root")), F.col("node").alias("hub")), "hubs")
@@ -154,8 +153,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
             tested = pairs if tested is None else tested.union(pairs)
             found, linked = counted(_confirmed(pairs, sets, percent), "links")
             if linked:
-                links.append(found)
-                roots = components(reduce(DataFrame.union, links))
+                roots = components(found) if roots is None else merged(roots, found)
         left = waiting.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").drop("root")
         left = attach(left, roots, "node") if roots is not None else left.withColumn("root", F.lit(None).cast("binary"))
         left = left.withColumn("root", F.coalesce("root", "node"))
