@@ -1,8 +1,9 @@
 """Order totals kept up to date by difference, and customer sets per month that any report can unite.
 
-The state holds, per order, sums that can be added and taken away: cents, counts, and a count per category. Changed lines
-are summed the same way with a sign, old values negative, and only the buckets of orders that they touch are written anew, as
-the next version of the table. Sums are whole numbers, so any sequence of changes gives what a full build gives.
+The state holds, per order and category, sums that can be added and taken away: cents and counts. Changed lines are summed the
+same way with a sign, old values negative, and only the buckets of orders that they touch are written anew, as the next version
+of the table. Sums are whole numbers, so any sequence of changes gives what a full build gives. A change is one grouping of plain
+numbers; an order's categories are gathered only when the state is read.
 """
 
 from __future__ import annotations
@@ -22,45 +23,48 @@ SUMS = ("_rows", "_lines", "_cents", "_discounts", "_discounted", "_margins", "_
 
 
 def line_sums(items: DataFrame, products: DataFrame, sign: int = 1) -> DataFrame:
-    """(order_id, sums, categories) of order lines, counted `sign` times. A category's count is of the lines that have it."""
+    """(order_id, category, sums) of order lines, counted `sign` times."""
+    return _summed(_each_line(_signed(items, sign), products))
+
+
+def _signed(items: DataFrame, sign: int) -> DataFrame:
+    """What is summed of each line, and how often it counts."""
+    kept = items.where("order_id IS NOT NULL")
+    return kept.select("order_id", "product_id", "item_id", cents(F.col("line_total")).alias("_total"), cents(F.col("discount")).alias("_discount"), F.lit(sign).alias("_sign"))
+
+
+def _each_line(signed: DataFrame, products: DataFrame) -> DataFrame:
+    """Each line as the sums of one line. Lines with either sign meet the products in one join."""
     priced = products.select("product_id", "category", units(F.col("margin"), _MARGIN_PLACES).alias("_margin"))
-    lines = items.where("order_id IS NOT NULL").select(
-        "order_id", "product_id", "item_id", cents(F.col("line_total")).alias("_total"), cents(F.col("discount")).alias("_discount")
-    )
     whole = {
-        "_rows": F.count(F.lit(1)),
-        "_lines": F.count("item_id"),
-        "_cents": F.coalesce(F.sum("_total"), F.lit(0)),
-        "_discounts": F.coalesce(F.sum("_discount"), F.lit(0)),
-        "_discounted": F.count("_discount"),
-        "_margins": F.coalesce(F.sum("_margin"), F.lit(0)),
-        "_margined": F.count("_margin"),
+        "_rows": F.lit(1),
+        "_lines": F.col("item_id").isNotNull(),
+        "_cents": F.coalesce("_total", F.lit(0)),
+        "_discounts": F.coalesce("_discount", F.lit(0)),
+        "_discounted": F.col("_discount").isNotNull(),
+        "_margins": F.coalesce("_margin", F.lit(0)),
+        "_margined": F.col("_margin").isNotNull(),
     }
-    per_category = lines.join(priced, "product_id", "left").groupBy("order_id", "category").agg(
-        *((v * F.lit(sign)).cast("bigint").alias(k) for k, v in whole.items())
-    )
-    return _per_order(per_category.withColumn("_of", F.struct("category", F.col("_rows").alias("many"))))
+    return signed.join(priced, "product_id", "left").select("order_id", "category", *((v.cast("bigint") * F.col("_sign")).alias(k) for k, v in whole.items()))
 
 
-def _per_order(rows: DataFrame) -> DataFrame:
-    """Rows per order and category, whose count is `_of`, as one row per order."""
-    kept = F.filter(F.collect_list("_of"), lambda c: c["category"].isNotNull() & (c["many"] != 0))
-    return rows.groupBy("order_id").agg(*(F.sum(s).alias(s) for s in SUMS), kept.alias("categories"))
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("order_id", "category").agg(*(F.sum(s).alias(s) for s in SUMS))
 
 
 def merged(state: DataFrame, *changes: DataFrame) -> DataFrame:
-    """The state after changes: all are sums per order, and orders whose lines are all gone drop out."""
+    """The state after changes: all are sums per order and category, of which those that have come to nothing drop out."""
     both = state
     for change in changes:
         both = both.unionByName(change)
-    none = F.array(F.struct(F.lit(None).cast("string").alias("category"), F.lit(0).cast("bigint").alias("many")))
-    each = both.withColumn("_of", F.explode(F.concat("categories", none)))
-    # An order's sums ride on the row without a category, which every order has once.
-    sums = {s: F.when(F.col("_of.category").isNull(), F.col(s)).otherwise(0) for s in SUMS}
-    per_category = each.groupBy("order_id", F.col("_of.category").alias("category")).agg(
-        F.sum("_of.many").alias("_many"), *(F.sum(v).alias(s) for s, v in sums.items())
-    )
-    return _per_order(per_category.withColumn("_of", F.struct("category", F.col("_many").alias("many")))).where("_rows <> 0")
+    return _summed(both).where(" OR ".join(f"{s} <> 0" for s in SUMS))
+
+
+def per_order(state: DataFrame) -> DataFrame:
+    """(order_id, sums, categories) of orders that have lines. A category's count is of the lines that have it."""
+    there = F.when(F.col("category").isNotNull() & (F.col("_rows") != 0), F.struct("category", F.col("_rows").alias("many")))
+    each = state.withColumn("_of", there).groupBy("order_id")
+    return each.agg(*(F.sum(s).alias(s) for s in SUMS), F.collect_list("_of").alias("categories")).where("_rows <> 0")
 
 
 def order_facts(orders: DataFrame, state: DataFrame) -> DataFrame:
@@ -98,7 +102,8 @@ class LineTotals:
         self.table.write(self._bucketed(line_sums(items, products)), ["bucket"])
 
     def state(self) -> DataFrame:
-        return self.table.read().drop("bucket")
+        """One row per order that has lines."""
+        return per_order(self.table.read().drop("bucket"))
 
     def apply(self, inserted: DataFrame, deleted: DataFrame, products: DataFrame) -> list[int]:
         """Add and take away lines (a changed line is both, old and new), and return the buckets that were written.
@@ -106,12 +111,12 @@ class LineTotals:
         Only buckets with orders that the changes touch are read and written; a bucket left without orders keeps no rows. Products
         must be those that the deleted lines were added with.
         """
-        changes = self._bucketed(line_sums(inserted, products).unionByName(line_sums(deleted, products, -1)))
-        touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())  # at most one row per bucket
+        orders = inserted.select("order_id").unionByName(deleted.select("order_id")).where("order_id IS NOT NULL")
+        touched = sorted(r.bucket for r in self._bucketed(orders).select("bucket").distinct().collect())  # at most one row per bucket
         if not touched:
             return []
         old = self.table.read().where(F.col("bucket").isin(touched)).drop("bucket")
-        new = self._bucketed(merged(old, changes.drop("bucket")))
+        new = self._bucketed(merged(old, _each_line(_signed(inserted, 1).unionByName(_signed(deleted, -1)), products)))
         self.table.write(new, ["bucket"], only_touched=True, touched=[f"bucket={b}" for b in touched])
         return touched
 

@@ -66,6 +66,22 @@ def test_only_touched_buckets_are_written(spark, shop, tmp_path):
     assert alone and totals.state().count() == 0 and totals.table._list(3)["partitions"] == {}
 
 
+def test_a_change_is_one_grouping_and_products_are_joined_once(spark, shop, tmp_path, monkeypatch):
+    products, _ = shop
+    totals = maintenance.LineTotals(spark, str(tmp_path / "t"), buckets=4)
+    lines = [(i, f"o{i % 9}", 1 + i % 11, 1, "5.00", None, "5.00") for i in range(60)]
+    totals.rebuild(frames.items(spark, *lines[:40]), products)
+    plans, write = [], totals.table.write
+    monkeypatch.setattr(totals.table, "write", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a, **k))[1])
+    totals.apply(frames.items(spark, *lines[40:]), frames.items(spark, *lines[:10]), products)
+    (plan,) = plans
+    assert plan.count("Aggregate ") == 1 and plan.count("Join ") == 1 and "collect_list" not in plan
+    expected = maintenance.LineTotals(spark, str(tmp_path / "whole"), buckets=4)
+    expected.rebuild(frames.items(spark, *lines[10:]), products)
+    found = [df.withColumn("categories", F.sort_array("categories")) for df in (totals.state(), expected.state())]
+    assert rows(found[0]) == rows(found[1])
+
+
 def test_sets_unite_to_distinct_counts(spark):
     n = F.col("id")
     table = spark.range(20_000).select((n % 7).alias("g"), (n % 3).alias("h"), F.when(n % 11 > 0, F.xxhash64(n) % 90_000).alias("x"))
