@@ -1,7 +1,8 @@
 """A random forest for two classes whose result follows from the rows and the seed alone, however they are partitioned.
 
 Every row draws its weight in every tree from a Poisson distribution by a hash of (seed, tree, row): bagging without an order of
-rows. Features are cut into bins at exact quantiles. All trees grow together, one level a scan: a task sums weights per (tree,
+rows. Features are cut into bins at exact quantiles, and rows alike in all bins and the label are one from then on: their weights
+are drawn once and added up, tree by tree. All trees grow together, one level a scan of those: a task sums weights per (tree,
 node, feature, bin, class), sums are whole numbers, and so neither their order nor the number of tasks can change a split.
 What is shuffled is one row per task, tree, node and feature drawn for it; what reaches the driver is the best cut of each.
 """
@@ -154,7 +155,7 @@ def fit(
     forest = Forest(tuple(columns), _cuts(rows, columns), [Tree() for _ in range(trees)])
     if not many:
         return forest
-    kept = rows.persist()
+    kept = _combined(rows, forest, seed).persist()
     try:
         live = [[0] for _ in range(trees)]  # nodes that may be cut, per tree
         for level in range(depth):
@@ -167,6 +168,62 @@ def fit(
     return forest
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The bytes of each row of an array as one binary value."""
+    data = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * data.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary values, one after another, and where each ends."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return (np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8))[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _combined(rows: DataFrame, forest: Forest, seed: int) -> DataFrame:
+    """(alike, weights): bins and label, a byte each, and the summed weight in every tree, one byte a tree where that is enough.
+
+    Rows are dealt by ranges of (alike, row), so that many equal ones fill several tasks; what is alike may come several times.
+    """
+    columns, trees = len(forest.columns), len(forest.trees)
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = forest.bins(batch.column("values").flatten().to_numpy().reshape(batch.num_rows, columns))
+            alike = np.column_stack([bins, batch.column("label").to_numpy()]).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([_binary(alike), batch.column("row")], ["alike", "row"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            alike, own = _bytes(batch.column("alike"))[0].reshape(batch.num_rows, -1), batch.column("row").to_numpy()
+            first = np.concatenate([[0], np.flatnonzero((alike[1:] != alike[:-1]).any(axis=1)) + 1])
+            sums = np.stack([np.add.reduceat(weights(own, seed, t), first) for t in range(trees)], axis=1)
+            narrow = sums.max(axis=1) < 256
+            for part, kind in ((narrow, np.uint8), (~narrow, np.uint32)):
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([_binary(alike[first[part]]), _binary(sums[part].astype(kind))], ["alike", "weights"])
+
+    # As many tasks as the rows had: each of them sends sums of all trees, at every level.
+    parts = rows._jdf.rdd().getNumPartitions()
+    dealt = rows.mapInArrow(binned, "alike binary, row long").repartitionByRange(parts, "alike", "row").sortWithinPartitions("alike")
+    return dealt.mapInArrow(add_up, "alike binary, weights binary")
+
+
+def _weights_of(column: pa.Array, trees: int) -> np.ndarray:
+    """Weights as `_combined` wrote them, a row per value."""
+    data, ends = _bytes(column)
+    lengths = np.diff(ends)
+    narrow = lengths == trees
+    found, in_narrow = np.empty((len(column), trees), dtype=np.int64), np.repeat(narrow, lengths)
+    found[narrow] = data[in_narrow].reshape(-1, trees)
+    found[~narrow] = data[~in_narrow].view(np.uint32).reshape(-1, trees)
+    return found
+
+
 def _grown(rows: DataFrame, forest: Forest, live: list[list[int]], level: int, min_leaf: int, seed: int) -> list[list[int]]:
     """Cut every live node where that helps, by one scan; the new nodes."""
     columns = len(forest.columns)
@@ -178,13 +235,14 @@ def _grown(rows: DataFrame, forest: Forest, live: list[list[int]], level: int, m
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bins = forest.bins(batch.column("values").flatten().to_numpy().reshape(batch.num_rows, columns))
-            label, own = batch.column("label").to_numpy(), batch.column("row").to_numpy()
+            alike = _bytes(batch.column("alike"))[0].reshape(batch.num_rows, columns + 1).astype(np.int64)
+            bins, label = alike[:, :columns], alike[:, columns]
+            drawn_weights = _weights_of(batch.column("weights"), len(forest.trees))
             for t, nodes in enumerate(live):
                 if not nodes:
                     continue
                 tree = forest.trees[t]
-                weight = weights(own, seed, t)
+                weight = drawn_weights[:, t]
                 slot = np.full(len(tree.feature), -1)
                 slot[nodes] = np.arange(len(nodes))
                 at = slot[tree.leaves(bins)]

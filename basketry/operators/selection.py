@@ -193,7 +193,7 @@ def values_at(df: DataFrame, group: str, order: Sequence[str], shares: Sequence[
     sketch per group and task is shuffled, then one row per group, task and value inside of a bracket, or gap between
     brackets: a hot group is combined before it moves.
     """
-    at = place(F.col(order[0]), df.schema[order[0]].dataType)
+    at, shares = place(F.col(order[0]), df.schema[order[0]].dataType), sorted(shares)
     ends = sketched(at, [s for p in shares for s in (p - MARGIN, p + MARGIN)])
     sketches = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), ends.alias("_at"))
     few = F.col("_n") <= FEW
@@ -206,11 +206,13 @@ def values_at(df: DataFrame, group: str, order: Sequence[str], shares: Sequence[
 
 def _resolved(df: DataFrame, group: str, order: Sequence[str], at: Column, brackets: DataFrame, many: int, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
     met = df.withColumn("_place", at).join(brackets, F.col(group).eqNullSafe(F.col("_group")))
-    inside = [(F.col("_place") >= F.col("_lows")[i]) & (F.col("_place") <= F.col("_highs")[i]) for i in range(many)]
     # Brackets that end before the row. A row outside of all comes before those of the next bracket, which have passed as many.
-    passed = sum(((F.col("_place") > F.col("_highs")[i]).cast("int") for i in range(many)), F.lit(0))
-    step = F.when(F.greatest(*inside) if many > 1 else inside[0], F.struct(*order))
-    steps, size = materialise(met.groupBy("_group", "_n", passed.alias("_passed"), step.alias("_step")).agg(F.count(F.lit(1)).alias("_rows")))
+    # Both ends ascend, so that a row in any bracket is in the first that does not end before it. One comparison a bracket written
+    # out as an expression made a method too long for the JVM to compile.
+    passed = F.size(F.filter("_highs", lambda high: high < F.col("_place")))
+    met = met.withColumn("_passed", passed)
+    step = F.when(F.get("_lows", F.col("_passed")) <= F.col("_place"), F.struct(*order))
+    steps, size = materialise(met.groupBy("_group", "_n", "_passed", step.alias("_step")).agg(F.count(F.lit(1)).alias("_rows")))
     along = [F.col("_passed"), F.col("_step").asc_nulls_first()]
     if size <= BOUND:
         upto = Window.partitionBy("_group").orderBy(*along).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -81,6 +81,27 @@ def test_equals_a_plain_forest_with_the_same_draws(spark):
             assert tree.counts[n] == tuple(int(weight[(leaf == n) & (labels == c)].sum()) for c in (0, 1))
 
 
+def test_rows_alike_are_one_and_keep_their_weights(spark):
+    n = F.col("id")
+    frame = spark.range(6_000).select(n.alias("k"), (n % 2).cast("int").alias("y"), F.when(n < 3_000, n * 0).otherwise(n % 4).alias("a"), (n % 3).alias("b"))
+    rows = frame.select(F.xxhash64("k").alias("row"), F.col("y").alias("label"), F.array(F.col("a").cast("double"), F.col("b").cast("double")).alias("values")).repartition(3)
+    model = forest.Forest(("a", "b"), forest._cuts(rows, ("a", "b")), [forest.Tree() for _ in range(5)])
+    combined = forest._combined(rows, model, 7).toArrow().combine_chunks()
+    assert combined.num_rows < 200  # 18 kinds, in some tasks and batches
+    found = {}
+    weights = forest._weights_of(combined.column("weights").chunk(0), 5)
+    assert {len(w) for w in combined.column("weights").to_pylist()} == {5, 20}
+    for kind, weight in zip(combined.column("alike").to_pylist(), weights, strict=True):
+        found[kind] = found.get(kind, 0) + weight
+    table = rows.toPandas()
+    bins, expected = model.bins(np.stack(table["values"].to_numpy())), {}
+    drawn = np.stack([forest.weights(table["row"].to_numpy(), 7, t) for t in range(5)], axis=1)
+    for kind, label, weight in zip(bins, table["label"], drawn, strict=True):
+        key = bytes([*kind, label])
+        expected[key] = expected.get(key, 0) + weight
+    assert {k: list(v) for k, v in found.items()} == {k: list(v) for k, v in expected.items()}
+
+
 def test_partitions_and_order_change_nothing(spark):
     models = [fitted(table(spark, partitions=p)) for p in (1, 8, 64)]
     assert models[0].trees == models[1].trees == models[2].trees

@@ -116,3 +116,15 @@ def test_running_totals_shuffle_once_and_stay_in_order(spark):
         total += 0 if i % 10 == 0 else i
         found.append((i, None if i % 10 == 0 else i, "x", total))
     assert [tuple(r) for r in laid.collect()] == found
+
+
+def test_brackets_are_found_by_a_short_expression_in_any_order_of_shares(spark, monkeypatch):
+    frame = wide(spark).where("money IS NOT NULL").select("one", F.col("money").cast("double").alias("value"))
+    ordered = sorted(r.value for r in frame.select("value").collect())
+    shares = [0.9, *(i / 32 for i in range(1, 32)), 0.1]
+    plans, kept = [], selection.materialise
+    monkeypatch.setattr(selection, "materialise", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df))[1])
+    found = selection.values_at(frame, "one", ["value"], shares, lambda n: [F.ceil(n * F.lit(s)).cast("bigint") for s in shares]).first()
+    assert [found[f"_v{i}"].value for i in range(len(shares))] == [ordered[math.ceil(len(ordered) * s) - 1] for s in shares]
+    stepped = next(plan for plan in plans if "_step" in plan)
+    assert stepped.count("_highs") < len(shares)
