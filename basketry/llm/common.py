@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 from functools import cached_property, reduce
 
 import numpy as np
@@ -26,11 +27,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries run in this block delete their shuffle files when they end; a session without that setting keeps them."""
+    before = spark.conf.get(CLEANUP, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def written(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files: lineage ends there, so losing an executor costs no
-    more than the tasks it ran."""
+    more than the tasks it ran. With `clean` what it shuffled is deleted too, which is for tables that nobody else computes."""
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    with shuffles_cleaned(df.sparkSession) if clean else nullcontext():
+        df.write.parquet(folder)
     table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table.written_to = folder
     return table

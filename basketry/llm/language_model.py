@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from basketry.llm.common import ascii_words, columns, list_column, mixed, small_batches, texts, written
+from basketry.llm.common import ascii_words, columns, discard, list_column, mixed, small_batches, texts, written
 
 CONTEXTS = 256  # numbered restaurants: 0 is none, 1 at the begin of a text, the others after a frequent word
 PART = 1_000_000  # training tokens of a part, about
@@ -271,10 +271,9 @@ def _sweep(repeated: DataFrame, sent: DataFrame, before: Totals, vocabulary: int
         return pa.table({"context": np.append(own, 0), "tables": np.append(tables, done.parent_tables.sum())})
 
     seated = repeated.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(run, "context long, tables double")
-    sums = written(seated.groupBy("context").agg(F.sum("tables").alias("tables")), "tables")
+    sums = written(seated.groupBy("context").agg(F.sum("tables").alias("tables")), "tables", clean=True)
     named = {r["context"]: r["tables"] for r in sums.where(F.col("context") >= 0).collect()}
-    sums = sums.where(F.col("context") != 0)
-    customers = all_singles + (sums.agg(F.sum("tables")).first()[0] or 0.0)
+    customers = all_singles + (sums.where(F.col("context") != 0).agg(F.sum("tables")).first()[0] or 0.0)
     return Totals(singles + np.array([0.0, *(named.get(c, 0.0) for c in range(1, CONTEXTS))]), named.get(0, 0.0), customers), sums
 
 
@@ -291,7 +290,7 @@ class Model:
 
 def fit(posted: DataFrame, parts: int = 8) -> Model:
     """Sample the seating of all training words, in `parts` parts."""
-    counts = written(context_counts(posted).withColumn("part", _part(parts)), "word-counts")
+    counts = written(context_counts(posted).withColumn("part", _part(parts)), "word-counts", clean=True)
 
     def totals_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,14 +310,14 @@ def fit(posted: DataFrame, parts: int = 8) -> Model:
 
     measures = ("n", "types", "singles")
     per_context = counts.select("context", "n").mapInArrow(totals_of, "context long, n long, types long, singles long")
-    restaurants = written(per_context.groupBy("context").agg(*(F.sum(m).alias(m) for m in measures)), "restaurants")
+    restaurants = written(per_context.groupBy("context").agg(*(F.sum(m).alias(m) for m in measures)), "restaurants", clean=True)
     named = np.zeros((3, CONTEXTS))
     for r in restaurants.where(F.col("context") >= 0).collect():
         named[:, r["context"]] = [r[m] for m in measures]
     tokens, all_types, all_singles = (int(x or 0) for x in restaurants.agg(*(F.sum(m) for m in measures)).first())
     rare = restaurants.where(F.col("context") < 0)
     repeated = written(counts.select("part", "word", "context", "n").mapInArrow(met_again, REPEATED), "met-again")
-    needed = written(_contexts_of(repeated).join(rare.drop("n"), "context"), "needed")
+    needed = written(_contexts_of(repeated).join(rare.drop("n"), "context"), "needed", clean=True)
     vocabulary = counts.count()
     totals, sums = [Totals(named[1], float(vocabulary), float(all_types))], []
     sent = [needed.select("part", "context", F.col("types").cast("double").alias("tables"))]
@@ -366,7 +365,10 @@ def fit(posted: DataFrame, parts: int = 8) -> Model:
         rare = rare.join(sums[BURN_IN + i].withColumnRenamed("tables", f"tables{i}"), "context", "left")
         backs.append((STRENGTH + DISCOUNT * (F.col("singles") + F.coalesce(F.col(f"tables{i}"), F.lit(0.0)))) / (STRENGTH + F.col("n")))
     rows = counts.select("part", "word", "context", "n").groupBy("part").cogroup(befores.groupBy("part")).applyInArrow(predict, MODEL)
-    rare = written(rare.select("context", (1 / (STRENGTH + F.col("n"))).alias("scale"), F.array(*backs).alias("back")), "backing")
+    rare = written(rare.select("context", (1 / (STRENGTH + F.col("n"))).alias("scale"), F.array(*backs).alias("back")), "backing", clean=True)
+    rows = written(rows, "model", clean=True)
+    # The model stands by itself from here: what it was made from need not lie beside the postings when those are dealt out.
+    discard(counts, restaurants, repeated, needed, *sums)
     return Model(rows, rare, tokens, vocabulary, opening, np.array(unknown))
 
 

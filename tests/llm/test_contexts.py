@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from basketry.llm import language_model
+from basketry.llm import common, language_model
+from basketry.store import file_system
 
 WORDS = 400
 
@@ -39,3 +40,14 @@ def test_rare_contexts_sum_to_one(spark):
         for r in rows:
             total += (back * np.array(r["parent"])).mean() + dict(zip(r["rare"], r["own"], strict=True)).get(place["context"], 0) * place["scale"]
         assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_only_the_model_is_left_of_what_it_was_made_from(spark, monkeypatch):
+    kept, write = [], language_model.written
+    monkeypatch.setattr(language_model, "written", lambda df, name, **how: (made := write(df, name, **how), kept.append((name, made)))[0])
+    table = spark.createDataFrame([(i, f"x{i % 9} y{i % 7} x{i % 5} z y{i % 3}") for i in range(200)], "doc_id long, text string")
+    before = spark.conf.get(common.CLEANUP)
+    scored = language_model.score(table)
+    there = [name for name, made in kept if file_system(spark, made.written_to)[0].exists(file_system(spark, made.written_to)[1])]
+    assert sorted(there) == ["backing", "model", "postings"] and len(kept) > 8
+    assert scored.count() == 200 and spark.conf.get(common.CLEANUP) == before
