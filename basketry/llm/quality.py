@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
+from operator import eq
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +29,9 @@ TERMS = 8_192  # hashed terms
 DIMENSIONS = 64
 SAMPLE = 2_000  # labelled documents of each class, at most
 NEIGHBOURS = 25
-BLOCK = 1_000  # documents in one matrix product
+BATCH = 1_000  # documents whose terms are held at a time
+BLOCK = 100  # documents in one matrix product, which takes some 0.2 MB of a worker for each
+KEPT_WORDS = 50_000  # a worker remembers the terms of, while its task runs
 FEATURES = "label int, terms array<int>, weights array<float>, print binary"
 
 SHAPES = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile(r"[^\W\d_X]+"), "x"), (re.compile(r"\d+"), "0"), (re.compile(r"([^\w\s])\1+"), r"\1+"))
@@ -38,29 +41,43 @@ def _hashed(term: str) -> int:
     return crc32(term.encode("utf-8", "surrogatepass")) % TERMS
 
 
-@lru_cache(maxsize=200_000)
+def _shape(word: str) -> str:
+    """Runs of capitals, other letters, digits and equal marks as one sign each."""
+    for pattern, sign in SHAPES:
+        word = pattern.sub(sign, word)
+    return word[:12]
+
+
+#: The shape hashes of ASCII letters alone or before one mark, by their capitals and that mark.
+MARKS = frozenset(".,;:!?")
+PLAIN = {(capital, mark): _hashed("s" + "X" * capital + "x" + mark) for capital in (False, True) for mark in ("", *MARKS)}
+
+
+@lru_cache(maxsize=KEPT_WORDS)
 def _word_terms(word: str) -> tuple[int, int]:
     """The terms of a word: itself without case or marks at its ends, and the shape of its letters, digits and marks."""
-    shape = word
-    for pattern, sign in SHAPES:
-        shape = pattern.sub(sign, shape)
-    return _hashed("w" + word.lower().strip(".,;:!?\"'()")), _hashed("s" + shape[:12])
+    own = _hashed("w" + word.lower().strip(".,;:!?\"'()"))
+    letters, mark = (word[:-1], word[-1]) if word[-1:] in MARKS else (word, "")
+    if letters.isascii() and letters.isalpha() and (letters[1:].islower() or len(letters) == 1 and letters.islower()):
+        return own, PLAIN[letters[0].isupper(), mark]
+    return own, _hashed("s" + _shape(word))
 
 
 def term_weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct terms of a text and 1 + log of their counts."""
     words = text.split()
-    counts: Counter[int] = Counter()
+    counts: dict[int, int] = {}
     distinct = Counter(words)
     for word, n in distinct.items():
         own, shape = _word_terms(word)
-        counts[own] += n
-        counts[shape] += n
-    repeats = sum(a == b for a, b in zip(words, words[1:]))
+        counts[own] = counts.get(own, 0) + n
+        counts[shape] = counts.get(shape, 0) + n
+    repeats = sum(map(eq, words, words[1:]))
     size = max(len(words), 1)
-    counts[_hashed(f"words {len(words).bit_length()}")] += 1
-    counts[_hashed(f"distinct {10 * len(distinct) // size} {size.bit_length()}")] += size // 4 + 1
-    counts[_hashed(f"repeats {10 * repeats // size}")] += size // 4 + 1
+    recurs = (f"words {len(words).bit_length()}", 1), (f"distinct {10 * len(distinct) // size} {size.bit_length()}", size // 4 + 1), (f"repeats {10 * repeats // size}", size // 4 + 1)
+    for name, n in recurs:
+        term = _hashed(name)
+        counts[term] = counts.get(term, 0) + n
     found = np.fromiter(counts.keys(), dtype=np.int32, count=len(counts))
     return found, (1 + np.log(np.fromiter(counts.values(), dtype=np.float32, count=len(counts)))).astype(np.float32)
 
@@ -74,6 +91,10 @@ class Model:
 
     def project(self, terms: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
         """Unit vectors of documents."""
+        parts = [slice(start, start + BLOCK) for start in range(0, len(terms), BLOCK)]
+        return np.concatenate([self._projected(terms[part], values[part]) for part in parts])
+
+    def _projected(self, terms: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
         flat = np.concatenate(terms)
         scaled = np.concatenate(values) * self.weights[flat]
         starts = np.cumsum([0, *map(len, terms)])[:-1]
@@ -83,6 +104,9 @@ class Model:
 
     def score(self, vectors: np.ndarray) -> np.ndarray:
         """The part of label 1 among the nearest labelled vectors, each weighted by its cosine."""
+        return np.concatenate([self._voted(vectors[start : start + BLOCK]) for start in range(0, len(vectors), BLOCK)])
+
+    def _voted(self, vectors: np.ndarray) -> np.ndarray:
         cosine = vectors @ self.vectors.T
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
@@ -151,7 +175,7 @@ def score(documents: DataFrame, model: Model | None, *keep: str | Column) -> Dat
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for rows in small_batches(batches, BLOCK):
+        for rows in small_batches(batches, BATCH):
             if own is None:
                 scores = np.full(rows.num_rows, 0.5)
             else:
