@@ -395,6 +395,33 @@ def _contexts_of(rows: DataFrame) -> DataFrame:
     return rows.select("part", "context").mapInArrow(contexts, "part long, context long").distinct()
 
 
+def _packed(restaurants: DataFrame) -> DataFrame:
+    """The restaurants that each part needs in rows of many, as a row for each is costly to shuffle and sort."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            part, context, scale, back = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            order = np.argsort(part, kind="stable")
+            own, each = np.unique(part, return_counts=True)
+            lists = [_grouped(context[order], each, pa.int64()), _grouped(scale[order], each, pa.float32()), _grouped(back[order].ravel(), each * back.shape[1], pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *lists], ["part", "context", "own", "parent"])
+
+        waiting = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            back = _flat(batch.column("back"))[0].reshape(batch.num_rows, -1)
+            waiting.append((*(batch.column(c).to_numpy() for c in ("part", "context", "scale")), back))
+            if sum(len(w[0]) for w in waiting) > HELD_ENTRIES // 4:
+                yield rows()
+                waiting = []
+        if waiting:
+            yield rows()
+
+    columns_of = restaurants.select("part", "context", F.col("scale").cast("float").alias("scale"), "back")
+    return columns_of.mapInArrow(pack, "part long, context array<long>, own array<float>, parent array<double>")
+
+
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """The sum of the value rows of each key."""
     every, values = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -547,8 +574,7 @@ def score(documents: DataFrame) -> DataFrame:
     asked = posted.where(F.col("word").isNotNull()).select("block", "word", "context", "document")
     asked = asked.withColumn("part", _part(parts, F.pmod(F.xxhash64("block"), copies.cast("long"))))
     rows = model.rows.withColumn("copy", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1))).withColumn("part", _part(parts, F.col("copy"))).drop("copy")
-    back = _contexts_of(asked).join(model.restaurants, "context")
-    back = back.select("part", F.array("context").alias("context"), F.array(F.col("scale").cast("float")).alias("own"), F.col("back").alias("parent"))
+    back = _packed(_contexts_of(asked).join(model.restaurants, "context"))
     kinds = [df.withColumn("kind", F.lit(i)) for i, df in enumerate((back, rows, asked))]
     met = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kinds)
     sums = met.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(sum_up, SUMS)
