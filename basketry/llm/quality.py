@@ -29,8 +29,8 @@ TERMS = 8_192  # hashed terms
 DIMENSIONS = 64
 SAMPLE = 2_000  # labelled documents of each class, at most
 NEIGHBOURS = 25
-BATCH = 1_000  # documents whose terms are held at a time
-BLOCK = 100  # documents in one matrix product, which takes some 0.2 MB of a worker for each
+BATCH = 1_000  # documents whose terms and cosines are held at a time
+BLOCK = 100  # documents projected, and whose neighbours are sought, at a time: some 0.2 MB of a worker for each
 KEPT_WORDS = 50_000  # a worker remembers the terms of, while its task runs
 FEATURES = "label int, terms array<int>, weights array<float>, print binary"
 
@@ -104,10 +104,10 @@ class Model:
 
     def score(self, vectors: np.ndarray) -> np.ndarray:
         """The part of label 1 among the nearest labelled vectors, each weighted by its cosine."""
-        return np.concatenate([self._voted(vectors[start : start + BLOCK]) for start in range(0, len(vectors), BLOCK)])
+        cosine = vectors @ self.vectors.T  # in one product: its rounding depends on the number of rows
+        return np.concatenate([self._voted(cosine[start : start + BLOCK]) for start in range(0, len(cosine), BLOCK)])
 
-    def _voted(self, vectors: np.ndarray) -> np.ndarray:
-        cosine = vectors @ self.vectors.T
+    def _voted(self, cosine: np.ndarray) -> np.ndarray:
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6).astype(np.float64) ** 4
