@@ -44,12 +44,12 @@ def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
-def written(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, clean: bool = False, codec: str = "snappy") -> DataFrame:
     """Write `df` once to the shared folder and go on from the files: lineage ends there, so losing an executor costs no
     more than the tasks it ran. With `clean` what it shuffled is deleted too, which is for tables that nobody else computes."""
     folder = new_folder(df.sparkSession, name)
     with shuffles_cleaned(df.sparkSession) if clean else nullcontext():
-        df.write.parquet(folder)
+        df.write.option("compression", codec).parquet(folder)
     table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table.written_to = folder
     return table
@@ -61,10 +61,10 @@ def discard(*tables: DataFrame) -> None:
         delete(table.sparkSession, table.written_to)
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def counted(df: DataFrame, name: str, clean: bool = False, codec: str = "snappy") -> tuple[DataFrame, int]:
     """`written`, and how many rows that wrote."""
     seen = Observation()
-    kept = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    kept = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, clean, codec)
     return kept, seen.get["rows"]
 
 
@@ -96,10 +96,14 @@ def ascii_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def white(data: np.ndarray) -> np.ndarray:
+    """Which UTF-8 bytes are ASCII white space."""
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of UTF-8 bytes begin and end; ASCII white space parts them."""
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1, append=1))
+    edges = np.flatnonzero(np.diff(white(data).view(np.int8), prepend=1, append=1))
     return edges[::2], edges[1::2]
 
 
